@@ -80,7 +80,8 @@ def leaks(documents: DataFrame, benchmark: DataFrame, share: float = SHARE) -> D
         sizes = windows.groupBy("item_id").agg(F.count("*").alias("n_windows"))
         small = windows.count() <= BROADCAST
         probes = with_window_hashes(docs.select("doc_id", "key", template(F.col("text")).alias("words")))
-        probes = probes.select("doc_id", "key", F.posexplode("hashes").alias("place", "hash"))
+        # the outer form, as a filter on the array's size would be pushed down and compute all its steps again
+        probes = probes.select("doc_id", "key", F.posexplode_outer("hashes").alias("place", "hash"))
         hits = probes.join(F.broadcast(windows) if small else windows, "hash")
         hits = hits.groupBy("doc_id", "key", "item_id", "at").agg(F.min("place").alias("place"))
         hits = s.table(hits.select("doc_id", "key", "item_id", (F.col("place") - F.col("at")).alias("shift")))
