@@ -6,14 +6,14 @@ Words are runs without white space, A-Z lower-cased; a document's set holds the
 1. One pass over the texts gives each document 128 MinHash samples, folded twice: into 32 bands of 4, and into a parity
    bitmap of 512 bits (the odd sketch), of which the XOR of two estimates their similarity.
 2. Documents with the same set are one class, found by a grouped minimum; only one of each goes further.
-3. Each bucket of a band pairs its members with its smallest and largest document only, so a bucket of m gives fewer
-   than 2m pairs. Pairs whose sketches or set sizes rule out the threshold go; the rest are confirmed on full sets.
-4. Only buckets that still hold several components go on: their members are compared sketch against sketch in blocks
-   inside a kernel, so that pairs across components appear as rows only where a link is likely; those are confirmed
-   too. Thus no bucket is capped and no link between components is skipped.
+3. Each bucket of a band pairs its members with its smallest document, the hub, so a bucket of m gives m - 1 pairs.
+   Pairs whose sketches or set sizes rule out the threshold go; the rest are confirmed on full sets.
+4. Only buckets that still hold several components go on. Their members meet once for each hub, in blocks, with those
+   outside the hub's component. A kernel compares sketches, confirms on full sets what may link, and returns only links
+   that join components. So no bucket is capped, no link between components is skipped, and no pair is ever a row.
 
-A pair at 0.8 shares no band with probability (1 - 0.8^4)^32 < 1e-7; the sketch's margin of 0.3 is over five standard
-deviations.
+A pair at 0.8 shares no band with probability (1 - 0.8^4)^32 < 1e-7; the sketch's margin is over five standard
+deviations of its estimate (0.037).
 
 Nulls: a null or empty text has no set and links with nothing; a row with a null doc_id gets a null component and is
 kept. Rows that repeat a doc_id are one node. An empty table gives an empty result. Other columns are ignored.
@@ -35,8 +35,8 @@ from .scratch import Scratch
 
 BANDS, ROWS, BITS = 32, 4, 512
 SAMPLES = BANDS * ROWS
-MARGIN = 0.3
-BLOCK = 2048
+MARGIN = 0.2
+BLOCK = 1024
 
 _rng = np.random.Generator(np.random.PCG64(7))
 _MULTIPLIERS = (_rng.integers(0, 1 << 31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -130,35 +130,61 @@ def _sets(words: int):
     return run
 
 
-def _likely(threshold: float):
-    """Rows (b, i, j, block, rep, comp, n, sketch) sorted by (b, i, j) → pairs across components worth confirming."""
-    limit = most_bits(threshold)
+def _across(percent: int):
+    """Rows (hub, i, j, block, rep, comp, n, sketch, shingles) sorted by (hub, i, j) → links across components.
+
+    A member's candidates are the other components' members that size and sketch allow. The nearest few are confirmed
+    first; the rest only as far as they are still apart from it. Both times one search counts all common shingles.
+    """
+    limit = most_bits(percent / 100)
 
     def run(batches):
-        for t in sorted_groups(batches, ["b", "i", "j"]):
+        for t in sorted_groups(batches, ["hub", "i", "j"]):
             rep, comp, n, block = (t.column(c).to_numpy() for c in ("rep", "comp", "n", "block"))
             sketch = fixed_width(t.column("sketch"), BITS // 64, np.int64).view(np.uint64)
+            lists = t.column("shingles").combine_chunks()
+            lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+            flat, size = lists.flatten().to_numpy().view(np.uint64), np.asarray(lists.value_lengths()).astype(np.int64)
+            begin = np.cumsum(size) - size
             i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+            names, label = np.unique(comp, return_inverse=True)
+            label = label.copy()
+            one, two = [], []
+
+            def confirm(k, to):
+                part = np.repeat(begin[to] - np.cumsum(size[to]) + size[to], size[to]) + np.arange(size[to].sum())
+                own = flat[begin[k] : begin[k] + size[k]]
+                at = np.minimum(np.searchsorted(own, flat[part]), len(own) - 1)
+                common = np.add.reduceat((own[at] == flat[part]).astype(np.int64), np.cumsum(size[to]) - size[to])
+                for m in to[100 * common >= percent * (size[k] + size[to] - common)].tolist():
+                    if label[m] != label[k]:
+                        label[label == label[m]] = label[k]
+                        one.append(rep[k])
+                        two.append(rep[m])
+
             left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
             for k in left.tolist():
                 to = right[rep[right] > rep[k]] if i == j else right
-                small, large = np.minimum(n[to], n[k]), np.maximum(n[to], n[k])
-                to = to[(comp[to] != comp[k]) & (small >= threshold * large - 1e-9)]
+                to = to[label[to] != label[k]]
+                to = to[100 * np.minimum(n[to], n[k]) >= percent * np.maximum(n[to], n[k])]
                 bits = np.bitwise_count(sketch[to] ^ sketch[k]).sum(axis=1, dtype=np.int64)
-                to = to[bits <= limit]
+                order = np.argsort(bits, kind="stable")
+                to = to[order][bits[order] <= limit]
                 if len(to):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(rep[to], rep[k])), pa.array(np.maximum(rep[to], rep[k]))], ["a", "c"]
-                    )
+                    confirm(k, to[:8])
+                    for start in range(8, len(to), 1024):
+                        rest = to[start : start + 1024]
+                        rest = rest[label[rest] != label[k]]
+                        if len(rest):
+                            confirm(k, rest)
+            if one:
+                yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(two, pa.int64())], ["a", "b"])
 
     return run
 
 
-def _confirm(s: Scratch, docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, c) whose full sets have at least `percent` hundredths in common."""
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("c").alias("id"))).distinct()
-    texts = docs.join(wanted, docs.doc_id == wanted.id, "left_semi")
-    sets = s.table(texts.mapInArrow(_sets(words), "id long, shingles array<long>").distinct())
     one, two = (sets.select(F.col("id").alias(k), F.col("shingles").alias(f"s{k}")) for k in "ac")
     common = F.size(F.array_intersect("sa", "sc"))
     return (
@@ -176,9 +202,8 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
 
     Documents link where 100 * common >= percent * union; component_id is the smallest doc_id reachable by links.
     """
-    spark, threshold = documents.sparkSession, percent / 100
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    with Scratch(spark) as s:
+    with Scratch(documents.sparkSession) as s:
         sig = s.table(
             docs.mapInArrow(
                 _signatures(words),
@@ -198,47 +223,52 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
         member = classes.select("rep", F.explode("bands").alias("b"))
         buckets = s.table(
             member.groupBy("b")
-            .agg(F.count("*").alias("m"), F.min("rep").alias("low"), F.max("rep").alias("high"))
-            .where("low < high")
+            .agg(F.count("*").alias("m"), F.min("rep").alias("low"))
+            .where("m > 1")
         )
-        hubs = s.table(member.join(buckets, "b"))  # only rows of buckets with company
+        met = s.table(member.join(buckets, "b"))  # only rows of buckets with company
+        wanted = met.select(F.col("rep").alias("id")).distinct().hint("merge")
+        texts = docs.join(wanted, docs.doc_id == wanted.id, "left_semi")
+        sets = s.table(texts.mapInArrow(_sets(words), "id long, shingles array<long>").distinct())
+
         traits = classes.select("rep", "n", "sketch")
-        pairs = (
-            hubs.select("rep", F.explode(F.array("low", "high")).alias("hub"))
-            .where("rep <> hub")
-            .select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("c"))
-            .distinct()
-        )
         one, two = (traits.select(*(F.col(x).alias(f"{x}_{k}") for x in ("rep", "n", "sketch"))) for k in "ac")
         bits = F.aggregate(
             F.zip_with("sketch_a", "sketch_c", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x
         )
-        pairs = s.table(
-            pairs.join(one, F.col("a") == F.col("rep_a"))
+        stars = met.where("rep <> low").select(F.col("low").alias("a"), F.col("rep").alias("c")).distinct()
+        stars = (
+            stars.join(one, F.col("a") == F.col("rep_a"))
             .join(two, F.col("c") == F.col("rep_c"))
             .where(F.least("n_a", "n_c") * 100 >= F.greatest("n_a", "n_c") * percent)
-            .where(bits <= most_bits(threshold))
+            .where(bits <= most_bits(percent / 100))
             .select("a", "c")
         )
-        links = s.table(_confirm(s, docs, pairs, words, percent))
+        links = s.table(_confirm(s.table(stars), sets, percent))
         found = components(s, links)
 
-        mixed = hubs.where("m > 3").select("b", "m", "rep").join(found, F.col("rep") == F.col("node"), "left")
-        mixed = mixed.select("b", "m", "rep", F.coalesce("component", "rep").alias("comp"))
+        mixed = met.where("m > 2").select("b", "low", "rep").join(found, F.col("rep") == F.col("node"), "left")
+        mixed = s.table(mixed.select("b", "low", "rep", F.coalesce("component", "rep").alias("comp")))
         several = mixed.groupBy("b").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y")
-        blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+        mixed = mixed.join(several.select("b"), "b").groupBy("low", "rep").agg(F.first("comp").alias("comp"))
+        hub = found.select(F.col("node").alias("low"), F.col("component").alias("hub_comp"))
+        mixed = mixed.join(hub, "low", "left").withColumn("main", F.col("comp") == F.coalesce("hub_comp", "low"))
+        mixed = s.table(mixed.select(F.col("low").alias("hub"), "rep", "comp", "main"))
+        sizes = mixed.groupBy("hub").agg(F.count_if("main").alias("m"), F.count_if(~F.col("main")).alias("o")).where("o > 0")
+        n_main, n_other = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("m", "o"))
+        place = F.xxhash64("rep")
         rest = (
-            mixed.join(several.select("b"), "b")
+            mixed.join(sizes, "hub")
+            .withColumn("block", F.when(F.col("main"), F.pmod(place, n_main)).otherwise(n_main + F.pmod(place, n_other)).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.when(F.col("main"), n_main).otherwise(F.lit(0)), n_main + n_other - 1)))
+            .select("hub", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "comp")
             .join(traits, "rep")
-            .withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-            .select("b", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "comp", "n", "sketch")
+            .join(sets, F.col("rep") == F.col("id"))
+            .select("hub", "i", "j", "block", "rep", "comp", "n", "sketch", "shingles")
         )
-        more = by_key(rest, "b", "i", "j").mapInArrow(_likely(threshold), "a long, c long").distinct()
-        more = s.table(more.join(pairs, ["a", "c"], "left_anti"))
+        more = s.table(by_key(rest, "hub", "i", "j").mapInArrow(_across(percent), "a long, b long"))
         if not more.isEmpty():
-            links = s.table(links.union(_confirm(s, docs, more, words, percent)))
-            found = components(s, links)
+            found = components(s, links.union(more))
 
         named = classes.select("k1", "k2", "rep").join(found, F.col("rep") == F.col("node"), "left")
         named = named.select("k1", "k2", F.coalesce("component", "rep").alias("component"))
