@@ -138,7 +138,7 @@ def validate(rows: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     )
     rows = rows.withColumn("added", first)
     bad = (
-        F.exists("claims", lambda c: (F.length("" + c["evidence_excerpt"]) < 5) | (F.length(c["subject"]) > 200) | (F.length(c["object"]) > 200))
+        F.exists("claims", lambda c: (F.length(c["evidence_excerpt"]) < 5) | (F.length(c["subject"]) > 200) | (F.length(c["object"]) > 200))
         | F.exists(F.concat("entities", "added"), lambda e: (F.length(e["name"]) > 200) | ~e["type"].isin(*ENTITY_TYPES))
     )
     none = F.array().cast("array<string>")
