@@ -61,12 +61,10 @@ def tokens(text: Column) -> Column:
 
 
 def with_bigrams(words: Column) -> Column:
-    """The words, then each two neighbours with a space between."""
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.size(words) - 1),
-        lambda i: F.concat_ws(" ", F.element_at(words, i), F.element_at(words, i + 1)),
-    )
-    return F.concat(words, F.when(F.size(words) > 1, pairs).otherwise(F.array().cast("array<string>")))
+    """The words, then each two neighbours with a space between. Pass a column, not an expression: it is read thrice."""
+    after = F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0)))
+    pairs = F.zip_with(F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))), after, lambda a, b: F.concat_ws(" ", a, b))
+    return F.concat(words, pairs)
 
 
 def normalized_name(name: Column) -> Column:

@@ -179,7 +179,8 @@ def tfidf_vocabulary(spark, folder):
 
 
 def tfidf_terms(spark, folder):
-    d = T.read(spark, folder, "documents").select("doc_id", with_bigrams(tokens(F.col("text"))).alias("t"))
+    d = T.read(spark, folder, "documents").select("doc_id", tokens(F.col("text")).alias("words"))
+    d = d.select("doc_id", with_bigrams(F.col("words")).alias("t"))
     return d.select("doc_id", F.size("t").cast("bigint").alias("n"), F.sha2(F.array_join("t", "\n"), 256).alias("sha"))
 
 
