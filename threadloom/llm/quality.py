@@ -15,6 +15,7 @@ every text when labels of both classes are missing. One row comes out for each r
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -142,6 +143,16 @@ class Neighbours:
         return out / (total + 1e-9)
 
 
+def singular_axes(x: np.ndarray, rank: int) -> np.ndarray:
+    """The leading right singular vectors, by subspace iteration: no matrix of rows by rows is ever formed."""
+    q = np.random.Generator(np.random.PCG64(5)).standard_normal((x.shape[1], rank + 16)).astype(np.float32)
+    for _ in range(8):
+        q = np.linalg.qr(x.T @ (x @ q))[0]
+    _, values, v = np.linalg.svd(x @ q, full_matrices=False)
+    keep = values[:rank] > 1e-3 * values[0]
+    return q @ v[:rank][keep].T
+
+
 def fit(documents: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int = 2, per_class: int = PER_CLASS) -> Neighbours:
     idf = inverse_frequencies(documents.select(F.col("text").cast("string").alias("text")))
     with Scratch(documents.sparkSession) as s:
@@ -153,14 +164,13 @@ def fit(documents: DataFrame, labels: DataFrame, modulus: int = 4, remainder: in
     if len(set(y.tolist())) < 2:
         return Neighbours(idf, None, None, None, None, None, rate)
     x = np.frombuffer(b"".join(rows.column("x").to_pylist()), dtype=np.float16).reshape(len(y), TERMS)
-    order = sorted(range(len(y)), key=lambda k: (x[k].tobytes(), y[k]))  # the same space whatever order rows came in
+    del rows
+    key = [int.from_bytes(hashlib.blake2b(x[k].tobytes(), digest_size=8).digest()) for k in range(len(y))]
+    order = np.lexsort((y, np.array(key, dtype=np.uint64)))  # the same space whatever order the rows came in
     x, y = x[order].astype(np.float32), y[order]
     mean = x.mean(axis=0)
     x -= mean
-    values, vectors = np.linalg.eigh(x.T @ x) if len(x) > TERMS else np.linalg.eigh(x @ x.T)
-    keep = np.argsort(values)[::-1][: min(RANK, len(y) - 1)]
-    keep = keep[values[keep] > 1e-6]
-    axes = vectors[:, keep] if len(x) > TERMS else x.T @ (vectors[:, keep] / np.sqrt(values[keep]))
+    axes = singular_axes(x, min(RANK, len(y) - 1))
     z = x @ axes
     z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
     n = np.bincount(y.astype(int), minlength=2)
