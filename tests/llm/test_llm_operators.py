@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from threadloom.llm import chat, decontaminate, embed_dedup, near_dup, packing, quality, substring, tokens, toxicity, url_filter
+from threadloom.llm import chat, decontaminate, embed_dedup, near_dup, packing, quality, scratch, skew, substring, tokens, toxicity, url_filter
 
 rng = random.Random(1)
 VOCABULARY = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 7))) for _ in range(400)]
@@ -80,6 +80,18 @@ def test_repeats(docs, nothing):
     assert substring.remove_repeats(nothing).count() == 0
 
 
+@pytest.mark.parametrize("share", [1, 4, 512])
+def test_hot_join(spark, share):
+    """Hot keys, cold keys, keys of one side only, and empty sides give the rows of a plain join."""
+    left = [(1 if k % 3 else k, k) for k in range(60)] + [(2, 70), (2, 70)]
+    right = [(k, sum(x == k for x, _ in left), -k) for k in [*range(0, 50, 2), 1, 99]]
+    a, b = spark.createDataFrame(left, "k long, v long"), spark.createDataFrame(right, "k long, n__ long, w long")
+    with scratch.Scratch(spark) as s:
+        got = sorted(map(tuple, skew.join_hot(s, a, b, ["k"], share).select("k", "v", "w").collect()))
+        assert got == sorted((k, v, w) for k, v in left for x, _, w in right if x == k)
+        assert skew.join_hot(s, a.limit(0), b, ["k"], share).count() == 0 == skew.join_hot(s, a, b.limit(0), ["k"], share).count()
+
+
 def test_packing(docs, nothing):
     import tokenizers
     import public_tokenizers

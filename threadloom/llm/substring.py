@@ -13,6 +13,7 @@ documents need only meet on seeds, about one for 19 words. Plan:
 5. A document's repeats are merged into maximal ones and cut out.
 
 No pairs of documents are formed, so a passage that a third of all documents share costs a row for each of its runs.
+Rows of hot seeds, runs and hashes are not shuffled to one task (see skew).
 Texts are read whole; comparisons are by 64-bit hashes of seed and run.
 
 Nulls: a null text has no words; a row with a null doc_id keeps all its words and does not count as earlier. Windows
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 from . import wordhash as wh
 from .scratch import Scratch
+from .skew import join_hot
 
 WINDOW, GRAM = 50, 14
 _LOW = np.uint64((1 << 24) - 1)
@@ -163,23 +165,24 @@ def repeated_spans(s: Scratch, docs: DataFrame, window: int = WINDOW, gram: int
             _seeds(window, gram), "doc_id long, key long, seed long, run long, first int, size int"
         )
     )
-    shared = (
-        seeds.groupBy("seed").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("seed")
-    )
-    met = s.table(seeds.join(shared, "seed"))
+    rows = F.count("*").alias("n__")
+    least, most = F.min("doc_id").alias("x"), F.max("doc_id").alias("y")
+    shared = seeds.groupBy("seed").agg(least, most, rows).where("x < y").select("seed", "n__")
+    met = s.table(join_hot(s, seeds, shared, ["seed"]))
     s.drop(seeds)
-    runs = met.groupBy("seed", "run").agg(F.min("doc_id").alias("earliest"))
-    several = runs.groupBy("seed").agg(F.min("earliest").alias("x"), F.max("earliest").alias("y"))
-    runs = runs.join(several.select("seed", (F.col("x") < F.col("y")).alias("differs")), "seed")
-    met = s.table(met.join(runs, ["seed", "run"]).select("doc_id", "key", "earliest", "differs", "first", "size"))
+    runs = s.table(met.groupBy("seed", "run").agg(F.min("doc_id").alias("earliest"), F.count("*").alias("n")))
+    several = runs.groupBy("seed").agg(F.min("earliest").alias("x"), F.max("earliest").alias("y"), rows)
+    runs = join_hot(s, runs, several.select("seed", (F.col("x") < F.col("y")).alias("differs"), "n__"), ["seed"])
+    met = join_hot(s, met, runs.withColumnRenamed("n", "n__"), ["seed", "run"])
+    met = s.table(met.select("doc_id", "key", "earliest", "differs", "first", "size"))
     span = F.struct("first", "size")
     whole = met.where("doc_id > earliest").select("doc_id", "key", span.alias("span"))
 
     heads = met.where("differs and doc_id = earliest").groupBy("doc_id", "key").agg(F.collect_list(span).alias("spans"))
     heads = docs.join(heads, ["doc_id", "key"]).select("doc_id", "key", "text", "spans")
     windows = s.table(heads.mapInArrow(_extend(window), "doc_id long, key long, hash long, first int"))
-    earliest = windows.groupBy("hash").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y")
-    parts = windows.join(earliest.select("hash", "x"), "hash").where("doc_id > x")
+    earliest = windows.groupBy("hash").agg(least, most, rows).where("x < y").select("hash", "x", "n__")
+    parts = join_hot(s, windows, earliest, ["hash"]).where("doc_id > x")
     parts = parts.select("doc_id", "key", F.struct("first", F.lit(1).alias("size")).alias("span"))
     return s.table(whole.union(parts).groupBy("doc_id", "key").agg(F.collect_set("span").alias("spans")))
 
