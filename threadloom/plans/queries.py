@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT
-from ..functions.text import normalized_name, sentences, tokens, with_bigrams
+from ..functions.text import NAME_STOPWORDS, normalized_name, sentences, tokens, with_bigrams
 from ..operators import claims as C
 from ..operators import extraction as X
 from ..operators import flatten, governance, graph, resolution, retrieval
+from ..schemas import RELATIONS
 from ..sources import tables as T
 from . import api
 
@@ -329,6 +330,40 @@ art AS (
     CASE WHEN role = 'system' THEN 'github-actions[bot]' ELSE role END, coalesce(c.text, ''), role = 'system'
   FROM conversations c JOIN documents d ON d.doc_id = c.conv_id
 )"""
+_ANSWERS = rf"""
+p AS (SELECT p_partkey AS k, regexp_replace(p_name, '["\\]', '', 'g') AS n, p_brand AS b FROM part),
+body AS (
+  SELECT k, '{{"entities": [{{"name": " ' || n || ' ", "type": "Library"}}, {{"name": "' || b || '", "type": "Gadget"}}, {{"name": "  "}}],'
+    || ' "claims": [{{"subject": "' || n || '", "relation": "' || CASE k % 4 WHEN 0 THEN 'USES' WHEN 1 THEN 'strongly depends_on' WHEN 2 THEN 'eats' ELSE 'fixes' END
+    || '", "object": "' || CASE k % 5 WHEN 0 THEN 'maker of things' ELSE b END || '", "confidence": '
+    || CASE k % 7 WHEN 0 THEN '"0.9"' WHEN 1 THEN '0.49' WHEN 2 THEN '1.7' WHEN 3 THEN 'null' ELSE '0.5' END
+    || '}}, {{"subject": "' || b || '", "relation": "uses", "object": "' || b || '"}}]}}' AS t
+  FROM p
+),
+said AS (
+  SELECT k, CASE k % 8 WHEN 1 THEN '```json' || chr(10) || t || chr(10) || '```' WHEN 2 THEN 'Here you are: ' || t || ' Anything else?'
+    WHEN 3 THEN 'I can''t do that.' WHEN 4 THEN '[' || t || ']' ELSE t END AS t
+  FROM body
+),
+parsed AS (SELECT k, coalesce(TRY_CAST(t AS JSON), TRY_CAST(regexp_extract(t, '\{{(.|\n)*\}}') AS JSON)) AS j FROM said),
+ent AS (SELECT k, trim(e->>'name') AS name FROM (SELECT k, unnest(from_json(j->'entities', '["JSON"]')) AS e FROM parsed WHERE json_type(j) = 'OBJECT')),
+clm AS (
+  SELECT k, trim(c->>'subject') AS s, trim(c->>'object') AS o, lower(trim(c->>'relation')) AS r,
+    least(1, greatest(0, coalesce(TRY_CAST(c->>'confidence' AS DOUBLE), {DEFAULT.default_confidence}))) AS sure
+  FROM (SELECT k, unnest(from_json(j->'claims', '["JSON"]')) AS c FROM parsed WHERE json_type(j) = 'OBJECT')
+),
+good AS (
+  SELECT * FROM clm WHERE s <> '' AND o <> '' AND s <> o AND sure >= {DEFAULT.min_confidence}
+    AND len(list_filter({list(RELATIONS)!r}, lambda x: contains(r, x))) > 0
+),
+held AS (
+  SELECT k, name FROM ent WHERE name <> ''
+  UNION ALL SELECT * FROM (SELECT k, s FROM good UNION SELECT k, o FROM good) f(k, name) WHERE (k, name) NOT IN (SELECT (k, name) FROM ent)
+),
+sums AS (
+  SELECT (SELECT count(*) FROM parsed) AS n, (SELECT count(*) FROM parsed WHERE j IS NULL) AS failed, (SELECT count(*) FROM ent) AS eb,
+    (SELECT count(*) FROM held) AS ea, (SELECT count(*) FROM clm) AS cb, (SELECT count(*) FROM good) AS ca
+)"""
 _SUB = """,
 picked AS (SELECT * FROM edges WHERE relation = 'uses' AND support_count >= 4),
 used AS (SELECT subject AS id FROM picked UNION SELECT object FROM picked),
@@ -395,6 +430,12 @@ q2 AS (SELECT term, (1 + ln(count(*))) * any_value(idf) AS w FROM q1 JOIN vocab
 q AS (SELECT term, w / sqrt(sum(w * w) OVER ()) AS q FROM q2),
 s AS (SELECT doc_id, sum(p.w * q) AS score FROM p JOIN q USING (term) GROUP BY doc_id HAVING sum(p.w * q) >= 1e-6 ORDER BY score DESC, doc_id LIMIT 8)
 SELECT printf('doc_%08d', doc_id) AS chunk_id, round(score, 4) AS score, source AS artifact_id FROM s JOIN documents USING (doc_id)""",
+    "extraction_totals": f"WITH {_ANSWERS} SELECT n AS chunks, failed AS errors, ea AS entities, ca AS claims FROM sums",
+    "validation_report": f"""WITH {_ANSWERS} SELECT n AS total_records, eb AS total_entities_before, ea AS total_entities_after, cb AS total_claims_before,
+  ca AS total_claims_after, round(100 * ea / greatest(eb, 1), 1) AS entity_retention_pct, round(100 * ca / greatest(cb, 1), 1) AS claim_retention_pct FROM sums""",
+    "normalized_names": rf"""WITH a AS (SELECT p_partkey, regexp_replace(strip_accents(' The ' || p_name || '/of-' || p_brand), '[^\x00-\x7F]', '', 'g') AS t FROM part),
+b AS (SELECT p_partkey, regexp_replace(trim(lower(t)), '^[`''"]+|[`''"]+$', '', 'g') AS t FROM a)
+SELECT p_partkey, array_to_string(list_filter(string_split(trim(regexp_replace(t, '[\s\-_/\\.]+', ' ', 'g')), ' '), lambda w: w <> '' AND NOT list_contains({list(NAME_STOPWORDS)!r}, w)), ' ') AS key FROM b""",
     "name_counts": """WITH m AS (SELECT p_name AS name, 'Component' AS type FROM part UNION ALL SELECT event_type, 'Concept' FROM events)
 SELECT name, count(*) AS frequency, any_value(type) AS type FROM m GROUP BY name""",
     "exact_repeats": r"""WITH h AS (SELECT 'issue_' || doc_id || '_body' AS artifact_id, lower(regexp_replace(regexp_replace(coalesce(text, ''), '^\s+|\s+$', '', 'g'), '\s+', ' ', 'g')) AS h FROM documents)
