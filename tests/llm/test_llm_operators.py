@@ -60,6 +60,26 @@ def test_near_duplicates(docs, nothing):
     assert near_dup.near_duplicates(nothing).count() == 0
 
 
+def test_near_duplicates_across_blocks(spark, monkeypatch):
+    """Chains whose similarities straddle the threshold, in buckets that hold several components and many blocks."""
+    monkeypatch.setattr(near_dup, "BLOCK", 3)
+    rows = []
+    for base in (prose(120), prose(120), prose(90)):
+        words = base.split()
+        for _ in range(28):
+            rows.append((len(rows), " ".join(words)))
+            for at in rng.sample(range(len(words)), rng.randint(1, 4)):
+                words[at] = "x" + str(rng.randint(0, 10**6))
+    sets = [{tuple(w[k : k + 4]) for k in range(len(w) - 3)} for w in (folded(x) for _, x in rows)]
+    root = list(range(len(rows)))
+    for a, b in itertools.combinations(root[:], 2):
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) and root[a] != root[b]:
+            one, two = sorted((root[a], root[b]))
+            root = [one if r == two else r for r in root]
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(spark.createDataFrame(rows, SCHEMA), words=4).collect()}
+    assert got == dict(enumerate(root)) and 3 < len(set(root)) < len(rows) / 2
+
+
 def test_repeats(docs, nothing):
     rows = substring.remove_repeats(docs).collect()
     assert len(rows) == len(DOCS) and rows[0].asDict()["key"] == 1
