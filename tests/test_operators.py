@@ -187,6 +187,25 @@ def test_retrieval(spark):
     assert all(abs(r.n - 1) < 1e-9 for r in norms)
 
 
+def test_context_pack(spark, claims):
+    """Mentions of snippets and question choose the claims; only the snippets' are reported."""
+    texts = ["alpha beta gamma", "alpha beta delta", "alpha omega gamma", "nothing here"]
+    d = spark.createDataFrame([(f"c{k}", t, False, "a", 1, None, None, None, 0, 0) for k, t in enumerate(texts)], "chunk_id string, text string, is_bot boolean, artifact_id string, issue_number int, author string, timestamp string, source_url string, offset_start int, offset_end int")
+    named = claims.withColumn("subject", F.when(F.lower("subject") == "a", "alpha").otherwise(F.col("subject"))).withColumn("object", F.when(F.lower("object") == "b", "betamax").otherwise(F.col("object")))
+    edges = graph.edges(C.deduplicated(named)).cache()
+    index = spark.createDataFrame([], "canonical string, aliases array<string>, type string, frequency bigint")
+    nodes = graph.nodes(C.deduplicated(named), index)
+    fitted = retrieval.fit(d)
+    pack = api.context("beta", d, *fitted, nodes, edges).first()
+    assert [s.chunk_id for s in pack.evidence_snippets] == ["c1", "c0"] and pack.entities_found == ["alpha"]
+    active = [e for e in edges.collect() if not e.superseded and "alpha" in (e.subject, e.object)]
+    assert pack.total_claims == len(pack.graph_claims) == len(active) > 0
+    empty = api.context("zzz betamax", d, *fitted, nodes, edges).first()
+    assert (empty.total_evidence, empty.entities_found) == (0, []) and empty.total_claims > 0
+    with pytest.raises(api.OutOfRange):
+        api.context("beta", d, *fitted, nodes, edges, top_k_claims=21)
+
+
 def test_governance(spark, claims):
     d = C.deduplicated(claims)
     keep = spark.createDataFrame([("a1",), ("a4",)], "artifact_id string")
