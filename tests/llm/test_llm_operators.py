@@ -229,6 +229,21 @@ def test_decontamination(spark):
     assert decontaminate.leaks(d.limit(0), bench).count() == decontaminate.leaks(d, bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_generic_and_short_items(spark):
+    """Verbatim copies of items that have no template window or few words are found, and long runs of slots are read."""
+    items = [
+        "Compute 12, 45, 7, 18, 33, 90, 6, 11, 2, 64, 5, 27, 81 and 14 added together.",
+        "Which of Anna Maria Schmidt, Peter Paul Rubens, Johann Sebastian Bach, Wolfgang Amadeus Mozart and Ludwig Van Beethoven was born in Bonn?",
+        "Who wrote Hamlet?",
+        "?!",
+    ]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = [(k, prose(20) + ". " + t + " " + prose(20)) for k, t in enumerate(items)]
+    rows += [(14, "so who wrote a Hamlet"), (15, "1" + ",2" * 30000), (16, "so Ab" + " Ab" * 30000), (17, items[0].replace("1", "3"))]
+    got = decontaminate.leaks(spark.createDataFrame(rows, SCHEMA), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(0, 0), (1, 1), (2, 2)} and all(r.n_matched <= r.n_windows for r in got)
+
+
 def test_urls(spark):
     urls = ["http://WWW.Example.com/en/a", "https://a.example.com/en/?q", "x://net/es/", "ftp://b.net/fr/#x", "http://spam-farm.example.org/x", "http://www.spam-farm.example.org", "http://notspam-farm.example.org/", None, "nothing", "http://é.com/", "http://a.example.com?/en/", "http://com/"]
     got = [tuple(r)[1:] for r in url_filter.judge(spark.createDataFrame([(k, u, "x") for k, u in enumerate(urls)], "page_id long, url string, host string").coalesce(1)).collect()]

@@ -8,8 +8,12 @@ documents' windows are exploded and probe it without a shuffle. A document holds
 the item's windows and the slots agree: along the best alignment, each of the item's slot values turns into one value,
 with conflicts for at most half of them. Only DataFrame expressions are used.
 
-Items with fewer than WINDOW template words, null or empty texts and null ids never match. Repeated rows of a document
-give one row for each item. Texts are read whole.
+Beside the templates, windows of the plain lower-cased words go through the same join: a document also holds an item if
+it has at least SHARE of these, whatever the slots. They find the verbatim copies of items whose windows are mostly
+placeholders or too few for a template, and copies in another case. An item shorter than WINDOW words is one window.
+
+Null texts, texts without words and null ids never match. Repeated rows of a document give one row for each item, its
+template's where that matches. Texts are read whole.
 """
 
 from __future__ import annotations
@@ -23,19 +27,24 @@ WINDOW, SHARE, BROADCAST = 8, 0.5, 1_000_000
 #: Unit words and signs that turn a number into a quantity.
 UNITS = "kg g mg km cm mm m mi miles mile feet ft inches inch lb lbs oz liters liter litres litre l ml hours hour hrs h minutes minute min seconds second sec s days day weeks week months month years year percent % dollars dollar usd eur euros euro $ € £ kmh mph degrees"
 _UNIT = "|".join(u.replace("$", r"\$") for u in sorted(UNITS.split(), key=len, reverse=True))
-_NUMBER = r"(?<![\p{L}\p{N}])\p{N}+(?:[.,:/]\p{N}+)*"
+# loops are possessive, as Java's other loops over groups take stack for each turn and overflow on long runs
 _END = r"(?![\p{L}\p{N}])"
-QUANTITY = rf"{_NUMBER}\s?(?:{_UNIT}){_END}"
-NUMBER = rf"{_NUMBER}{_END}"
-NAME = r"(?<=[\p{L}\p{N},;:)] )\p{Lu}\p{Ll}+(?:[ -]\p{Lu}\p{Ll}+)*"
+QUANTITY = rf"(?<![\p{{L}}\p{{N}}])\p{{N}}++(?:[.,:/]\p{{N}}++)*+\s?(?:{_UNIT}){_END}"
+NUMBER = rf"(?<![\p{{L}}\p{{N}}])\p{{N}}++{_END}(?:[.,:/]\p{{N}}++{_END})*+"
+NAME = r"(?<=[\p{L}\p{N},;:)] )\p{Lu}\p{Ll}++(?:[ -]\p{Lu}\p{Ll}++)*+"
 _SLOTS = {"qtyslot": QUANTITY, "numslot": NUMBER, "nameslot": NAME}
 
 
+def plain(text: Column) -> Column:
+    """Lower-cased words."""
+    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+
+
 def template(text: Column) -> Column:
     """The template's words."""
     for word, pattern in _SLOTS.items():
         text = F.regexp_replace(text, pattern, word)
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return plain(text)
 
 
 def values(text: Column) -> Column:
@@ -44,16 +53,22 @@ def values(text: Column) -> Column:
     return F.transform(every, lambda v: F.lower(v))
 
 
-def with_window_hashes(df: DataFrame) -> DataFrame:
+def with_window_hashes(df: DataFrame, words: str = "words", hashes: str = "hashes", seed: int = 0) -> DataFrame:
     """Adds hashes: of each WINDOW (8) of the column `words` in a row.
 
     Word hashes are combined to pairs, fours and eights, a column each, so that no step is computed twice.
     """
-    df = df.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
+    df = df.withColumn(hashes, F.transform(words, lambda w: F.xxhash64(F.lit(seed), w)))
     for step in (1, 2, 4):
-        ahead = F.slice("hashes", F.lit(step + 1), F.greatest(F.size("hashes") - step, F.lit(0)))
-        df = df.withColumn("hashes", F.zip_with("hashes", ahead, lambda a, b: F.xxhash64(a, b)))
-    return df.withColumn("hashes", F.slice("hashes", F.lit(1), F.greatest(F.size("hashes") - (WINDOW - 1), F.lit(0))))
+        ahead = F.slice(hashes, F.lit(step + 1), F.greatest(F.size(hashes) - step, F.lit(0)))
+        df = df.withColumn(hashes, F.zip_with(hashes, ahead, lambda a, b: F.xxhash64(a, b)))
+    return df.withColumn(hashes, F.slice(hashes, F.lit(1), F.greatest(F.size(hashes) - (WINDOW - 1), F.lit(0))))
+
+
+def _short_hashes(n: int) -> Column:
+    """Hashes of n plain words in a row, for items of n words."""
+    starts = F.when(F.size("plain") >= n, F.sequence(F.lit(1), F.size("plain") - (n - 1))).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda k: F.xxhash64(F.lit(-n), F.slice("plain", k, F.lit(n))))
 
 
 def _slot(word: Column) -> Column:
@@ -73,26 +88,38 @@ def leaks(documents: DataFrame, benchmark: DataFrame, share: float = SHARE) -> D
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("item"))
     items = items.where("item_id is not null and item is not null").dropDuplicates(["item_id"])
     with Scratch(spark) as s:
-        items = s.table(items.withColumn("words", template(F.col("item"))).withColumn("given", values(F.col("item"))))
+        items = items.withColumn("words", template(F.col("item"))).withColumn("given", values(F.col("item")))
+        items = s.table(items.withColumn("plain", plain(F.col("item"))))
         placed = with_window_hashes(items).select("item_id", "words", F.posexplode("hashes").alias("at", "hash"))
         free = F.size(F.filter(F.slice("words", F.col("at") + 1, F.lit(WINDOW)), lambda w: ~_slot(w)))
-        windows = s.table(placed.where(free * 2 > WINDOW).select("item_id", "at", "hash"))
-        sizes = windows.groupBy("item_id").agg(F.count("*").alias("n_windows"))
+        placed = placed.where(free * 2 > WINDOW).select("item_id", F.lit(False).alias("exact"), "at", "hash")
+        exact = with_window_hashes(items, "plain", seed=1).select("item_id", F.lit(True).alias("exact"), F.posexplode("hashes").alias("at", "hash"))
+        sized = items.withColumn("n", F.size("plain")).where(f"n between 1 and {WINDOW - 1}")
+        lengths = sorted(r["n"] for r in sized.select("n").distinct().collect())
+        windows = placed.union(exact)
+        for n in lengths:
+            whole = sized.where(F.col("n") == n).select("item_id", F.lit(True), F.posexplode(_short_hashes(n)))
+            windows = windows.union(whole)
+        windows = s.table(windows)
+        sizes = windows.groupBy("item_id", "exact").agg(F.count("*").alias("n_windows"))
         small = windows.count() <= BROADCAST
-        probes = with_window_hashes(docs.select("doc_id", "key", template(F.col("text")).alias("words")))
+        probes = docs.select("doc_id", "key", template(F.col("text")).alias("words"), plain(F.col("text")).alias("plain"))
+        probes = with_window_hashes(with_window_hashes(probes), "plain", "exact_hashes", 1)
+        # the template's come first, so their places are those of its words; of the others only the number counts
+        every = F.concat("hashes", "exact_hashes", *(_short_hashes(n) for n in lengths))
         # the outer form, as a filter on the array's size would be pushed down and compute all its steps again
-        probes = probes.select("doc_id", "key", F.posexplode_outer("hashes").alias("place", "hash"))
+        probes = probes.select("doc_id", "key", F.posexplode_outer(every).alias("place", "hash"))
         hits = probes.join(F.broadcast(windows) if small else windows, "hash")
-        hits = hits.groupBy("doc_id", "key", "item_id", "at").agg(F.min("place").alias("place"))
-        hits = s.table(hits.select("doc_id", "key", "item_id", (F.col("place") - F.col("at")).alias("shift")))
-        aligned = hits.groupBy("doc_id", "key", "item_id", "shift").agg(F.count("*").alias("n"))
-        found = aligned.groupBy("doc_id", "key", "item_id").agg(
+        hits = hits.groupBy("doc_id", "key", "item_id", "exact", "at").agg(F.min("place").alias("place"))
+        hits = s.table(hits.select("doc_id", "key", "item_id", "exact", (F.col("place") - F.col("at")).alias("shift")))
+        aligned = hits.groupBy("doc_id", "key", "item_id", "exact", "shift").agg(F.count("*").alias("n"))
+        found = aligned.groupBy("doc_id", "key", "item_id", "exact").agg(
             F.sum("n").alias("n_matched"), F.max_by("shift", F.struct("n", -F.col("shift"))).alias("shift")
         )
-        found = found.join(F.broadcast(sizes) if small else sizes, "item_id")
+        found = found.join(F.broadcast(sizes) if small else sizes, ["item_id", "exact"])
         found = s.table(found.where(F.col("n_matched") >= share * F.col("n_windows")))
 
-        held = docs.join(found, ["doc_id", "key"]).dropDuplicates(["doc_id", "key", "item_id"])
+        held = docs.join(found, ["doc_id", "key"]).dropDuplicates(["doc_id", "key", "item_id", "exact"])
         slots = items.select("item_id", _slots_at(F.col("words")).alias("its"), "given")
         held = held.join(F.broadcast(slots) if small else slots, "item_id")
         held = held.withColumn("words", template(F.col("text"))).withColumn("got", values(F.col("text")))
@@ -104,13 +131,13 @@ def leaks(documents: DataFrame, benchmark: DataFrame, share: float = SHARE) -> D
                 there(k) > 0, F.struct(F.element_at("given", k).alias("a"), F.try_element_at("got", there(k).cast("int")).alias("b"))
             ),
         )
-        comparable = (F.size("its") > 0) & (F.size("its") == F.size("given")) & (F.size("places") == F.size("got"))
+        comparable = ~F.col("exact") & (F.size("its") > 0) & (F.size("its") == F.size("given")) & (F.size("places") == F.size("got"))
         pairs = F.when(comparable, F.array_distinct(F.filter(pairs, lambda p: p.isNotNull())))
         held = held.withColumn("pairs", F.coalesce(pairs, F.array().cast("array<struct<a:string,b:string>>")))
         n_slots = F.size(F.array_distinct(F.transform("pairs", lambda p: p["a"])))
         held = held.withColumn("n_slots", n_slots.cast("long")).withColumn("n_conflicts", F.size("pairs") - F.col("n_slots"))
         held = held.where("2 * n_conflicts <= n_slots")
-        best = Window.partitionBy("doc_id", "item_id").orderBy(F.desc("n_matched"), "key")
+        best = Window.partitionBy("doc_id", "item_id").orderBy("exact", F.desc("n_matched"), "key")
         held = held.withColumn("nth", F.row_number().over(best)).where("nth = 1")
         return s.keep(held.select("doc_id", "item_id", "n_windows", "n_matched", "n_slots", "n_conflicts"))
 
