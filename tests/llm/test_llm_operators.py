@@ -244,6 +244,24 @@ def test_decontamination_of_generic_and_short_items(spark):
     assert {(r.doc_id, r.item_id) for r in got} == {(0, 0), (1, 1), (2, 2)} and all(r.n_matched <= r.n_windows for r in got)
 
 
+def test_decontamination_across_case_and_wrapping(spark):
+    """Copies in another case, wrapped, or after words without a full stop are found."""
+    items = [
+        "Der Bauer verkauft zwei Schafe an den Nachbarn und kauft im Herbst neue Ziegen vom Markt.",
+        "Every morning before school the tall boy asked Mary about her new red bicycle.",
+        "The grey heron waits beside shallow water forever.",
+        "Every day some 30 birds pass here twice.",
+    ]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = [
+        (0, prose(20) + ". " + items[0].lower() + " " + prose(20)), (1, prose(20) + ". " + items[1].replace(" Mary", "\n  Ann") + " " + prose(20)),
+        (2, prose(20) + ", " + items[2]), (3, prose(20) + "\n" + items[3].replace("30", "45")),
+    ]
+    got = {r.doc_id: r for r in decontaminate.leaks(spark.createDataFrame(rows, SCHEMA), bench).collect()}
+    assert {k: r.item_id for k, r in got.items()} == {k: k for k in range(4)} and got[1].n_slots == got[3].n_slots == 1
+    assert all(r.n_matched <= r.n_windows for r in got.values())
+
+
 def test_urls(spark):
     urls = ["http://WWW.Example.com/en/a", "https://a.example.com/en/?q", "x://net/es/", "ftp://b.net/fr/#x", "http://spam-farm.example.org/x", "http://www.spam-farm.example.org", "http://notspam-farm.example.org/", None, "nothing", "http://é.com/", "http://a.example.com?/en/", "http://com/"]
     got = [tuple(r)[1:] for r in url_filter.judge(spark.createDataFrame([(k, u, "x") for k, u in enumerate(urls)], "page_id long, url string, host string").coalesce(1)).collect()]

@@ -32,6 +32,8 @@ _END = r"(?![\p{L}\p{N}])"
 QUANTITY = rf"(?<![\p{{L}}\p{{N}}])\p{{N}}++(?:[.,:/]\p{{N}}++)*+\s?(?:{_UNIT}){_END}"
 NUMBER = rf"(?<![\p{{L}}\p{{N}}])\p{{N}}++{_END}(?:[.,:/]\p{{N}}++{_END})*+"
 NAME = r"(?<=[\p{L}\p{N},;:)] )\p{Lu}\p{Ll}++(?:[ -]\p{Lu}\p{Ll}++)*+"
+#: White space other than one ASCII space.
+_SPACES = r"[\s\p{Z}]{2,}|[\s\p{Z}&&[^ ]]"
 _SLOTS = {"qtyslot": QUANTITY, "numslot": NUMBER, "nameslot": NAME}
 
 
@@ -42,6 +44,7 @@ def plain(text: Column) -> Column:
 
 def template(text: Column) -> Column:
     """The template's words."""
+    text = F.regexp_replace(text, _SPACES, " ")
     for word, pattern in _SLOTS.items():
         text = F.regexp_replace(text, pattern, word)
     return plain(text)
@@ -49,6 +52,7 @@ def template(text: Column) -> Column:
 
 def values(text: Column) -> Column:
     """The slots' values, in order."""
+    text = F.regexp_replace(text, _SPACES, " ")
     every = F.regexp_extract_all(text, F.lit("|".join(f"(?:{p})" for p in _SLOTS.values())), F.lit(0))
     return F.transform(every, lambda v: F.lower(v))
 
@@ -93,15 +97,20 @@ def leaks(documents: DataFrame, benchmark: DataFrame, share: float = SHARE) -> D
         placed = with_window_hashes(items).select("item_id", "words", F.posexplode("hashes").alias("at", "hash"))
         free = F.size(F.filter(F.slice("words", F.col("at") + 1, F.lit(WINDOW)), lambda w: ~_slot(w)))
         placed = placed.where(free * 2 > WINDOW).select("item_id", F.lit(False).alias("exact"), "at", "hash")
+        # within a sentence, a capitalised first word is a name: another hash of the first window
+        begins = items.where(F.col("item").rlike(r"^[^\p{L}\p{N}]*\p{Lu}\p{Ll}") & ~_slot(F.get("words", F.lit(0))))
+        inside = F.concat(F.array(F.lit("nameslot")), F.slice("words", 2, WINDOW - 1))
+        begins = with_window_hashes(begins.withColumn("words", inside)).select("item_id", F.explode("hashes").alias("hash"))
+        begins = placed.where("at = 0").drop("hash").join(begins, "item_id").select(*placed.columns)
         exact = with_window_hashes(items, "plain", seed=1).select("item_id", F.lit(True).alias("exact"), F.posexplode("hashes").alias("at", "hash"))
         sized = items.withColumn("n", F.size("plain")).where(f"n between 1 and {WINDOW - 1}")
         lengths = sorted(r["n"] for r in sized.select("n").distinct().collect())
-        windows = placed.union(exact)
+        windows = placed.union(begins).union(exact)
         for n in lengths:
             whole = sized.where(F.col("n") == n).select("item_id", F.lit(True), F.posexplode(_short_hashes(n)))
             windows = windows.union(whole)
         windows = s.table(windows)
-        sizes = windows.groupBy("item_id", "exact").agg(F.count("*").alias("n_windows"))
+        sizes = windows.groupBy("item_id", "exact").agg(F.count_distinct("at").alias("n_windows"))
         small = windows.count() <= BROADCAST
         probes = docs.select("doc_id", "key", template(F.col("text")).alias("words"), plain(F.col("text")).alias("plain"))
         probes = with_window_hashes(with_window_hashes(probes), "plain", "exact_hashes", 1)
