@@ -1,4 +1,5 @@
 import itertools
+import json
 import random
 
 import pytest
@@ -10,7 +11,8 @@ from threadloom.functions.similarity import token_set_ratio
 from threadloom.operators import claims as C
 from threadloom.operators import extraction, flatten, governance, graph, resolution, retrieval
 from threadloom.operators.components import components
-from threadloom.plans import api, build
+from threadloom.plans import api, build, queries
+from threadloom.sources import tables
 
 RAW = "pos string, subject string, relation string, object string, confidence double, excerpt string, negated boolean, source_url string, artifact_id string, chunk_id string, issue_number bigint, author string, timestamp string, offset_start bigint, offset_end bigint"
 
@@ -206,6 +208,14 @@ def test_context_pack(spark, claims):
         api.context("beta", d, *fitted, nodes, edges, top_k_claims=21)
 
 
+def test_registered_context_pack_has_evidence(spark):
+    folder = "/root/testdata/sf0.001"
+    shown = json.loads(queries.context_pack(spark, folder).first().claims)
+    true = {r.claim_id: r.evidence for r in C.deduplicated(tables.claims(spark, folder)).collect()}
+    assert shown and all(c["all_evidence_count"] == len(true[c["edge_id"]]) > 0 for c in shown)
+    assert all(c["excerpt"] == true[c["edge_id"]][0].excerpt != "" for c in shown)
+
+
 def test_governance(spark, claims):
     d = C.deduplicated(claims)
     keep = spark.createDataFrame([("a1",), ("a4",)], "artifact_id string")

@@ -24,6 +24,7 @@ def _claims(spark, folder) -> DataFrame:
 
 
 def _edges(spark, folder) -> DataFrame:
+    """Edges for the queries that show no evidence."""
     none = F.array().cast("array<struct<excerpt:string,source_url:string>>")
     return graph.edges(_claims(spark, folder)).withColumn("evidence", none)
 
@@ -195,7 +196,8 @@ def context_pack(spark, folder):
     words = d.select(F.explode(tokens(F.col("text"))).alias("id")).groupBy("id").agg(F.count("*").alias("frequency")).where("frequency >= 20")
     none = F.lit(None).cast("string")
     nodes = words.select("id", F.col("id").alias("label"), F.lit("unknown").alias("type"), F.array().cast("array<string>").alias("aliases"), "frequency", none.alias("first_seen"), none.alias("last_seen"))
-    pack = api.context(QUESTION + " " + ENTITY, d, *retrieval.fit(d), nodes.unionByName(_nodes(spark, folder)), _edges(spark, folder))
+    proven = C.deduplicated(T.claims(spark, folder)).withColumn("confidence", F.col("confidence").cast("double"))
+    pack = api.context(QUESTION + " " + ENTITY, d, *retrieval.fit(d), nodes.unionByName(_nodes(spark, folder)), graph.edges(proven))
     return pack.select("question", "total_evidence", "total_claims", F.array_join("entities_found", ",").alias("entities_found"), F.to_json("graph_claims").alias("claims"))
 
 
