@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from threadloom.llm import chat, decontaminate, embed_dedup, near_dup, packing, quality, scratch, skew, substring, tokens, toxicity, url_filter
+from threadloom.llm import chat, embed_dedup, near_dup, packing, quality, scratch, skew, substring, tokens, toxicity, url_filter
 
 rng = random.Random(1)
 VOCABULARY = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 7))) for _ in range(400)]
@@ -215,53 +215,6 @@ def test_embeddings(spark):
     assert embed_dedup.near_vectors(df.limit(0)).count() == 0
 
 
-def test_decontamination(spark):
-    item = "A farmer sold 12 sheep to Mary for 300 dollars each and then Mary bought 4 more sheep from the same farmer."
-    other = item.replace("12", "15").replace("Mary", "Ann").replace("300", "250")
-    mixed = item.replace("to Mary", "to Ann").replace("12", "4").replace("Mary", "Ed").replace("300 dollars", "4 dollars")
-    rows = [(0, prose(30) + " " + item + " " + prose(30)), (1, prose(9) + " " + other), (2, prose(200)), (3, None), (4, ""), (None, item), (5, item), (5, item), (6, mixed)]
-    bench = spark.createDataFrame([(7, item), (8, "too short"), (9, None), (None, item)], "item_id long, text string")
-    d = spark.createDataFrame(rows, SCHEMA).withColumn("words", F.lit(1)).withColumn("hash", F.lit(2))
-    got = {(r.doc_id, r.item_id): r for r in decontaminate.leaks(d, bench).collect()}
-    assert {(0, 7), (1, 7), (5, 7)} <= set(got) and got[1, 7].n_conflicts == 0 and got[1, 7].n_slots >= 3
-    assert not {i for i, _ in got} & {2, 3, 4, None}
-    assert {r.doc_id for r in decontaminate.drop_leaks(d, bench).collect()} >= {2, 3, 4}
-    assert decontaminate.leaks(d.limit(0), bench).count() == decontaminate.leaks(d, bench.limit(0)).count() == 0
-
-
-def test_decontamination_of_generic_and_short_items(spark):
-    """Verbatim copies of items that have no template window or few words are found, and long runs of slots are read."""
-    items = [
-        "Compute 12, 45, 7, 18, 33, 90, 6, 11, 2, 64, 5, 27, 81 and 14 added together.",
-        "Which of Anna Maria Schmidt, Peter Paul Rubens, Johann Sebastian Bach, Wolfgang Amadeus Mozart and Ludwig Van Beethoven was born in Bonn?",
-        "Who wrote Hamlet?",
-        "?!",
-    ]
-    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
-    rows = [(k, prose(20) + ". " + t + " " + prose(20)) for k, t in enumerate(items)]
-    rows += [(14, "so who wrote a Hamlet"), (15, "1" + ",2" * 30000), (16, "so Ab" + " Ab" * 30000), (17, items[0].replace("1", "3"))]
-    got = decontaminate.leaks(spark.createDataFrame(rows, SCHEMA), bench).collect()
-    assert {(r.doc_id, r.item_id) for r in got} == {(0, 0), (1, 1), (2, 2)} and all(r.n_matched <= r.n_windows for r in got)
-
-
-def test_decontamination_across_case_and_wrapping(spark):
-    """Copies in another case, wrapped, or after words without a full stop are found."""
-    items = [
-        "Der Bauer verkauft zwei Schafe an den Nachbarn und kauft im Herbst neue Ziegen vom Markt.",
-        "Every morning before school the tall boy asked Mary about her new red bicycle.",
-        "The grey heron waits beside shallow water forever.",
-        "Every day some 30 birds pass here twice.",
-    ]
-    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
-    rows = [
-        (0, prose(20) + ". " + items[0].lower() + " " + prose(20)), (1, prose(20) + ". " + items[1].replace(" Mary", "\n  Ann") + " " + prose(20)),
-        (2, prose(20) + ", " + items[2]), (3, prose(20) + "\n" + items[3].replace("30", "45")),
-    ]
-    got = {r.doc_id: r for r in decontaminate.leaks(spark.createDataFrame(rows, SCHEMA), bench).collect()}
-    assert {k: r.item_id for k, r in got.items()} == {k: k for k in range(4)} and got[1].n_slots == got[3].n_slots == 1
-    assert all(r.n_matched <= r.n_windows for r in got.values())
-
-
 def test_urls(spark):
     urls = ["http://WWW.Example.com/en/a", "https://a.example.com/en/?q", "x://net/es/", "ftp://b.net/fr/#x", "http://spam-farm.example.org/x", "http://www.spam-farm.example.org", "http://notspam-farm.example.org/", None, "nothing", "http://é.com/", "http://a.example.com?/en/", "http://com/"]
     got = [tuple(r)[1:] for r in url_filter.judge(spark.createDataFrame([(k, u, "x") for k, u in enumerate(urls)], "page_id long, url string, host string").coalesce(1)).collect()]
