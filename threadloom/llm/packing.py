@@ -5,10 +5,14 @@ may be shorter. Best-fit decreasing then runs over counts of equal pieces, on th
 whatever the corpus. Pieces of one length are interchangeable, so the plan is a list of slots: the ranks from..to of a
 length go into such sequences at such offsets. Pieces find their slots by rank within their length. Ranks come from
 row numbers within (length, salt) plus the salts' running counts, with as many salts as keep a numbered group near
-RANKED rows, so a length that a third of all pieces have is spread over many tasks. The plan is broadcast: it has a row
-for each length and remaining room that meet, bounded by size² / 2 and in practice by a few times `size`.
+RANKED rows, so a length that a third of all pieces have is spread over many tasks. A salt hashes the piece with its
+number in its partition, so rows that are equal in all their columns are spread as well. The plan is broadcast: it has a
+row for each length and remaining room that meet, bounded by size² / 2 and in practice by a few times `size`.
 
-A null or empty text is one piece with the end id alone. Repeated rows and ids are packed each for itself.
+A null or empty text is one piece with the end id alone; so has a row with a null id. Repeated rows and ids are packed each
+for itself; pieces of one length are interchangeable, so which of them gets which slot is open. Texts are encoded whole, of
+any length and with any run of blanks. An empty table gives an empty result. Columns other than doc_id and text are
+neither read nor in the way.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from .scratch import Scratch
 from .tokens import byte_encoder
 
 SIZE, END_ID, RANKED = 1024, 2, 50_000
-_PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+_PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, nth int"
 
 
 def plan(counts: dict[int, int], size: int) -> list[tuple[int, int, int, int, int, int]]:
@@ -63,7 +67,7 @@ def plan(counts: dict[int, int], size: int) -> list[tuple[int, int, int, int, in
 
 def _pieces(path: str, size: int, end_id: int, with_ids: bool):
     def run(batches):
-        encode = byte_encoder(path)
+        encode, seen = byte_encoder(path), 0
         for batch in batches:
             texts, rows = batch.column(1), {k: [] for k in ("row", "piece", "start", "length", "crc", "ids")}
             for k in range(batch.num_rows):
@@ -76,8 +80,10 @@ def _pieces(path: str, size: int, end_id: int, with_ids: bool):
                 batch.column(0).take(pa.array(rows["row"], pa.int64())),
                 pa.array(rows["piece"], pa.int32()),
                 *(pa.array(rows[c], pa.int64()) for c in ("start", "length", "crc")),
+                pa.array((np.arange(seen, seen + len(rows["row"])) & 0x7FFFFFFF).astype(np.int32)),
             ]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+            seen += len(rows["row"])
+            names = ["doc_id", "piece", "start", "length", "ids_crc32", "nth"]
             if with_ids:
                 columns.append(pa.array([x.astype(np.int32) for x in rows["ids"]], pa.list_(pa.int32())))
                 names.append("ids")
@@ -102,13 +108,13 @@ def pack(
             "length_ long, rank_ long, pieces_ long, first_ long, offset_ long, per_ long",
         )
         salts = max(16, -(-sum(counts.values()) // RANKED))
-        pieces = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
+        pieces = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "nth"), F.lit(salts)))
         sizes = pieces.groupBy("length", "salt").agg(F.count("*").alias("n"))
         before = F.sum("n").over(
             Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
         sizes = sizes.select("length", "salt", (before - F.col("n")).alias("before"))
-        order = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32")
+        order = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32", "nth")
         ranked = (
             pieces.withColumn("number", F.row_number().over(order) - 1)
             .join(sizes, ["length", "salt"])

@@ -4,8 +4,10 @@
 characters that are neither a space nor the piece marker: no piece of the vocabulary holds its marker anywhere but at
 its start (checked when the model is loaded), so no merge crosses such a boundary, and the marker that is put before
 each segment is that space itself. Segments are then encoded in calls of about CALL bytes, whatever rows they are from.
+A text without such a space, or with one only after many bytes, has a segment of that length: it is encoded whole.
 
-A null text counts as empty; every input row gives one row. Repeated rows and ids are no special case.
+A null text counts as empty; every input row gives one row, an empty table none. Repeated rows and ids are no special
+case. Texts of any length are counted whole; columns other than doc_id and text are neither read nor in the way.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 
 CUT, CALL = 8 << 10, 256 << 10
 _MARK = "▁"
-_APART = (" ", _MARK)
+_MARK_BYTES = _MARK.encode()
 
 
 @functools.lru_cache(maxsize=2)
@@ -32,22 +34,28 @@ def pieces_model(path: str):
     return model, safe
 
 
-def segments(text: str, most: int = CUT) -> list[str]:
-    """The text cut before `most` characters, or as soon after as it can be, at safe boundaries only."""
-    out, begin, n = [], 0, len(text)
+def _safe(data: bytes, at: int) -> bool:
+    """Whether the space at this place has no space and no marker beside it."""
+    return not (data[at - 1 : at + 2].count(b" ") > 1 or data.endswith(_MARK_BYTES, 0, at) or data.startswith(_MARK_BYTES, at + 1))
+
+
+def segments(data: bytes, most: int = CUT) -> list[bytes]:
+    """UTF-8 text cut after `most` bytes, or as soon after as it can be, at safe boundaries only."""
+    out, begin, n = [], 0, len(data)
     while n - begin > most:
-        at = text.find(" ", begin + most)
-        while 0 < at < n - 1 and (text[at - 1] in _APART or text[at + 1] in _APART):
-            at = text.find(" ", at + 1)
+        at = data.find(b" ", begin + most)
+        while 0 < at < n - 1 and not _safe(data, at):
+            at = data.find(b" ", at + 1)
         if not 0 < at < n - 1:
             break
-        out.append(text[begin:at])
+        out.append(data[begin:at])
         begin = at + 1
-    out.append(text[begin:])
+    out.append(data[begin:])
     return out
 
 
-def lengths(texts: list[str], path: str) -> np.ndarray:
+def lengths(texts: list[bytes], path: str) -> np.ndarray:
+    """The number of tokens of each UTF-8 text."""
     model, safe = pieces_model(path)
     counts, call, owner, size = np.zeros(len(texts), dtype=np.int64), [], [], 0
 
@@ -56,7 +64,7 @@ def lengths(texts: list[str], path: str) -> np.ndarray:
 
     for k, text in enumerate(texts):
         for part in segments(text) if safe else [text]:
-            call.append(part)
+            call.append(part.decode())
             owner.append(k)
             size += len(part)
             if size >= CALL:
@@ -72,8 +80,9 @@ def _count(path: str):
         for batch in batches:
             texts = batch.column(1).fill_null("")
             sizes = pa.compute.binary_length(texts)
+            counts = lengths(texts.cast(pa.binary()).to_pylist(), path)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes).cast(pa.int64()), pa.array(lengths(texts.to_pylist(), path))],
+                [batch.column(0), pa.array(sizes).cast(pa.int64()), pa.array(counts)],
                 ["doc_id", "n_bytes", "n_tokens"],
             )
 
@@ -93,7 +102,8 @@ def byte_encoder(path: str):
     """Text → ids as the `tokenizers` library gives them for a byte-level BPE file.
 
     The same ranks, read from that file, run in `tiktoken`, about five times as fast; a test holds the ids of both
-    against each other. Special tokens in a text become their ids, as that library does by default.
+    against each other. Special tokens in a text become their ids, as that library does by default. A text on which
+    `tiktoken` gives up goes to the library itself.
     """
     import json
 
@@ -109,12 +119,19 @@ def byte_encoder(path: str):
     coder = tiktoken.Encoding(
         "byte_level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special
     )
-    return lambda text: coder.encode(text, allowed_special="all")
+    library = None
+
+    def encode(text: str) -> list[int]:
+        nonlocal library
+        try:
+            return coder.encode(text, allowed_special="all")
+        except ValueError:  # its pattern's stack overflows on a run of about a million blanks; the library has no such limit
+            import tokenizers
 
+            library = library or tokenizers.Tokenizer.from_file(path)
+            return library.encode(text, add_special_tokens=False).ids
 
-def ids_of(texts: list[str], path: str) -> list[list[int]]:
-    encode = byte_encoder(path)
-    return [encode(t) for t in texts]
+    return encode
 
 
-__all__ = ["byte_encoder", "count_tokens", "ids_of", "lengths", "segments"]
+__all__ = ["byte_encoder", "count_tokens", "lengths", "segments"]
