@@ -118,13 +118,13 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return all_bytes[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def groups(column: pa.Array, most: int = GROUP_BYTES) -> Iterator[Group]:
+def groups(column: pa.Array, most: int = GROUP_BYTES, rows: int = 1 << 30) -> Iterator[Group]:
     """Cuts a text column into groups of whole documents of about `most` bytes (a longer document is one alone)."""
     data, offsets = text_bytes(column)
     n, first = len(offsets) - 1, 0
     while first < n:
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + most, side="right")) - 1)
-        last = min(last, n)
+        last = min(last, first + rows, n)
         yield split(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], first, last)
         first = last
 
