@@ -1,4 +1,5 @@
 import itertools
+import math
 import random
 import re
 
@@ -144,6 +145,23 @@ def test_packing(docs, nothing):
     assert packing.pack(nothing).count() == 0
 
 
+@pytest.mark.parametrize("blank", [" ", "\n", " \n\t"], ids=["spaces", "newlines", "mixed"])
+def test_ids_of_long_blank_runs(blank):
+    import tokenizers
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    text = "a b" + blank * (2_000_000 // len(blank)) + "c"
+    assert tokens.byte_encoder(path)(text) == tokenizers.Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
+def test_packing_spreads_equal_rows(spark, monkeypatch):
+    """Rows that are equal in all columns get places of their own, in groups of bounded size."""
+    monkeypatch.setattr(packing, "RANKED", 20)
+    rows = packing.pack(spark.createDataFrame([(None, None)] * 3000, SCHEMA)).collect()
+    assert len({(r.sequence_id, r.offset) for r in rows}) == 3000 and {r.sequence_id for r in rows} == {0, 1, 2}
+
+
 def test_plan_is_best_fit_decreasing():
     for _ in range(50):
         items = [rng.randint(1, 64) for _ in range(rng.randint(1, 200))]
@@ -169,8 +187,11 @@ def test_token_counts(docs, nothing):
     want = sorted((str(i), len((t or "").encode()), len(library.encode(t or ""))) for i, t in DOCS)
     assert sorted((str(r.doc_id), r.n_bytes, r.n_tokens) for r in rows) == want
     text = "a  b " * 9000 + "▁ c" * 5000
-    assert tokens.lengths([text], public_tokenizers.path("piece_bpe_32k.model"))[0] == len(library.encode(text))
-    assert len(tokens.segments(text)) > 3 and tokens.count_tokens(nothing).count() == 0
+    text += "漢字 é " * 9000 + "x" * 20000 + " y"
+    assert tokens.lengths([text.encode()], public_tokenizers.path("piece_bpe_32k.model"))[0] == len(library.encode(text))
+    parts = tokens.segments(text.encode())
+    assert len(parts) > 9 and b" ".join(parts).decode() == text and max(map(len, parts)) < 31000
+    assert tokens.count_tokens(nothing).count() == 0
 
 
 @pytest.mark.parametrize("operator", [toxicity.score_toxicity, quality.score_quality])
@@ -194,27 +215,65 @@ def test_classifiers(spark, docs, nothing, operator):
     assert operator(docs, labels.limit(0)).count() == len(DOCS) and operator(nothing, labels).count() == 0
 
 
-def test_embeddings(spark):
+def brute_force_vectors(rows):
     import numpy as np
 
+    n, root = [0] * len(rows), list(range(len(rows)))
+    fine = [k for k, (i, e) in enumerate(rows) if i is not None and e and all(x is not None and math.isfinite(x) for x in e) and any(e)]
+    unit = {k: np.array(rows[k][1], dtype=np.float32).astype(float) / np.linalg.norm(np.array(rows[k][1], dtype=np.float32).astype(float)) for k in fine}
+    for a, b in itertools.combinations(fine, 2):
+        linked = len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= 0.95
+        n[a], n[b] = n[a] + linked, n[b] + linked
+        if (linked or rows[a][0] == rows[b][0]) and root[a] != root[b]:
+            one, two = root[a], root[b]
+            root = [one if r == two else r for r in root]
+    least = {r: min(rows[k][0] for k in fine if root[k] == r) for r in {root[k] for k in fine}}
+    return n, [least[root[k]] if k in unit else i for k, (i, _) in enumerate(rows)]
+
+
+@pytest.mark.parametrize("block", [8, 512])
+def test_embeddings(spark, monkeypatch, block):
+    """Several widths, many equal vectors, repeated ids, and vectors that link with nothing."""
+    import numpy as np
+
+    monkeypatch.setattr(embed_dedup, "BLOCK", block)
     g = np.random.default_rng(2)
-    centres = g.standard_normal((40, 16))
-    x = np.repeat(centres, 8, axis=0) + 0.2 * g.standard_normal((320, 16))
+    x = np.repeat(g.standard_normal((40, 16)), 8, axis=0) + 0.2 * g.standard_normal((320, 16))
     rows = [(k, [float(v) for v in e]) for k, e in enumerate(x)]
+    wide = np.repeat(g.standard_normal((9, 24)), 6, axis=0) + 0.15 * g.standard_normal((54, 24))
+    rows += [(400 + k, [float(v) for v in e]) for k, e in enumerate(wide)]
+    rows += [(600 + k, rows[8 * (k % 3)][1]) for k in range(60)]  # many copies
+    rows += [(700, [1.0, 2.0, 3.0]), (701, [1.0, 2.0, 3.0]), (702, [1.0, 2.0]), (703, [1.0, 2.0]), (5, rows[300][1]), (5, rows[5][1]), (640, [1.0] * 5)]
     rows += [(900, [0.0] * 16), (901, None), (902, [float("nan")] * 16), (903, []), (904, [1.0] * 15), (905, [None] * 16), (None, rows[0][1]), (906, rows[0][1])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("v", F.lit(1)).withColumn("label", F.lit(0))
-    got = {r.vec_id: r for r in embed_dedup.near_vectors(df).collect()}
-    m = np.array([e for _, e in rows[:320]] + [rows[0][1]], dtype=np.float32).astype(float)
-    m /= np.linalg.norm(m, axis=1, keepdims=True)
-    links = (m @ m.T >= 0.95).sum(axis=1) - 1
-    ids = [*range(320), 906]
-    found = sum(got[i].n_links for i in ids)
-    assert all(got[i].n_links <= n for i, n in zip(ids, links)) and found >= 0.9 * links.sum() > 0
-    assert got[906].component_id == 0 and not got[906].kept
-    assert all(got[i].n_links == 0 and got[i].kept for i in (900, 901, 902, 903, 904, 905, None))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("v", F.lit(1)).withColumn("w", F.lit(0))
+    n, root = brute_force_vectors(rows)
+    got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in embed_dedup.near_vectors(df).collect()), key=str)
+    assert got == sorted(((i, n[k], root[k], i is None or i == root[k]) for k, (i, _) in enumerate(rows)), key=str)
     assert embed_dedup.near_vectors(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("width, groups", [(64, 300), (24, 300)])
+def test_embeddings_recall_near_the_threshold(spark, width, groups):
+    """Links with cosines of 0.95 to 0.96: at least 0.9 are found, and none below the threshold."""
+    import numpy as np
+
+    g = np.random.default_rng(width)
+    rows = []
+    for k in range(groups):
+        a, b = (v / np.linalg.norm(v) for v in g.standard_normal((2, width)))
+        b = b - (a @ b) * a
+        b /= np.linalg.norm(b)
+        for c in g.uniform(0.95, 0.96, 4):
+            rows += [(len(rows), (c * a + math.sqrt(1 - c * c) * b).tolist())]
+            b = -b
+        rows.append((len(rows), a.tolist()))
+    x = np.array([e for _, e in rows])
+    want = (x @ x.T >= 0.95).sum() - len(rows)
+    got = sum(r.n_links for r in embed_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+    print(width, got / want)
+    assert 0.9 * want <= got <= want
+
+
 def test_urls(spark):
     urls = ["http://WWW.Example.com/en/a", "https://a.example.com/en/?q", "x://net/es/", "ftp://b.net/fr/#x", "http://spam-farm.example.org/x", "http://www.spam-farm.example.org", "http://notspam-farm.example.org/", None, "nothing", "http://é.com/", "http://a.example.com?/en/", "http://com/"]
     got = [tuple(r)[1:] for r in url_filter.judge(spark.createDataFrame([(k, u, "x") for k, u in enumerate(urls)], "page_id long, url string, host string").coalesce(1)).collect()]
