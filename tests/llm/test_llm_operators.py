@@ -64,6 +64,7 @@ def test_near_duplicates(docs, nothing):
 def test_near_duplicates_across_blocks(spark, monkeypatch):
     """Links that hubs alone do not find, in buckets that hold many components and many blocks."""
     monkeypatch.setattr(near_dup, "BLOCK", 3)
+    monkeypatch.setattr(near_dup, "BLOCK_BYTES", 2000)
     rows = []
 
     def variant(words, edits):
@@ -86,6 +87,14 @@ def test_near_duplicates_across_blocks(spark, monkeypatch):
     assert got == dict(enumerate(root)) and 1 < len(set(root)) < len(rows)
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    """An id with several texts is one node that joins what each of them links to."""
+    x, y, z = prose(60), prose(60), prose(60)
+    rows = [(1, x), (5, x), (5, y), (7, y), (5, None), (9, z), (8, z + " more"), (8, ""), (3, prose(50)), (3, prose(50)), (3, prose(50)), (None, x)]
+    got = sorted({(r.doc_id, r.component_id, r.kept) for r in near_dup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect() if r.doc_id and r.n_shingles})
+    assert got == [(1, 1, True), (3, 3, True), (5, 1, False), (7, 1, False), (8, 8, True), (9, 8, False)]
+
+
 def test_repeats(docs, nothing):
     rows = substring.remove_repeats(docs).collect()
     assert len(rows) == len(DOCS) and rows[0].asDict()["key"] == 1

@@ -6,17 +6,20 @@ Words are runs without white space, A-Z lower-cased; a document's set holds the
 1. One pass over the texts gives each document 128 MinHash samples, folded twice: into 32 bands of 4, and into a parity
    bitmap of 512 bits (the odd sketch), of which the XOR of two estimates their similarity.
 2. Documents with the same set are one class, found by a grouped minimum; only one of each goes further.
-3. Each bucket of a band pairs its members with its smallest document, the hub, so a bucket of m gives m - 1 pairs.
+3. Each bucket of a band pairs its members with its smallest class, the hub, so a bucket of m gives m - 1 pairs.
    Pairs whose sketches or set sizes rule out the threshold go; the rest are confirmed on full sets.
 4. Only buckets that still hold several components go on. Their members meet once for each hub, in blocks, with those
-   outside the hub's component. A kernel compares sketches, confirms on full sets what may link, and returns only links
-   that join components. So no bucket is capped, no link between components is skipped, and no pair is ever a row.
+   outside the hub's component: first their sketches alone, which keep the members that have a candidate, then the full
+   sets of these. A kernel confirms what may link and returns only links that join components. So no bucket is capped, no
+   link between components is skipped, and no pair is ever a row. A block has BLOCK classes or BLOCK_BYTES of sets at
+   most on average, or one longer document.
 
 A pair at 0.8 shares no band with probability (1 - 0.8^4)^32 < 1e-7; the sketch's margin is over five standard
 deviations of its estimate (0.037).
 
 Nulls: a null or empty text has no set and links with nothing; a row with a null doc_id gets a null component and is
-kept. Rows that repeat a doc_id are one node. An empty table gives an empty result. Other columns are ignored.
+kept. Rows that repeat a doc_id are one node, also with different texts: its links are those of all its texts. Texts of any
+length are read whole. An empty table gives an empty result. Other columns are neither read nor in the way.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ from .scratch import Scratch
 BANDS, ROWS, BITS = 32, 4, 512
 SAMPLES = BANDS * ROWS
 MARGIN = 0.2
-BLOCK = 1024
+BLOCK, BLOCK_BYTES = 256, 8 << 20
 
 _rng = np.random.Generator(np.random.PCG64(7))
 _MULTIPLIERS = (_rng.integers(0, 1 << 31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -88,7 +91,7 @@ def _signatures(words: int):
     def run(batches):
         for batch in batches:
             n, k1, k2, bb, ss = [], [], [], [], []
-            for shingles in shingle_sets(batch.column(1), words):
+            for shingles in shingle_sets(batch.column(2), words):
                 n.append(len(shingles))
                 k1.append(int(wh.mix(shingles ^ np.uint64(0x51)).sum(dtype=np.uint64)))
                 k2.append(int(np.bitwise_xor.reduce(wh.mix(shingles + np.uint64(0xABCD)))) if len(shingles) else 0)
@@ -103,22 +106,28 @@ def _signatures(words: int):
             )
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
+                    *batch.columns[:2],
                     pa.array(n),
                     pa.array(np.array(k1, dtype=np.uint64).view(np.int64)),
                     pa.array(np.array(k2, dtype=np.uint64).view(np.int64)),
                     lists(bb, BANDS),
                     lists(ss, BITS // 64),
                 ],
-                ["doc_id", "n_shingles", "k1", "k2", "bands", "sketch"],
+                ["doc_id", "at", "n_shingles", "k1", "k2", "bands", "sketch"],
             )
 
     return run
 
 
 def _sets(words: int):
+    """(id, text) → (id, shingles), the first of equal ids in a partition only."""
+
     def run(batches):
+        seen: set[int] = set()
         for batch in batches:
+            ids = batch.column(0).to_pylist()
+            new = [k for k, i in enumerate(ids) if i not in seen and not seen.add(i)]
+            batch = batch.take(pa.array(new, pa.int64()))
             sets = list(shingle_sets(batch.column(1), words))
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
             flat = np.concatenate(sets) if sets else np.zeros(0, dtype=np.uint64)
@@ -130,6 +139,30 @@ def _sets(words: int):
     return run
 
 
+def _may_link(percent: int):
+    """Rows (hub, i, j, block, rep, comp, n, sketch) sorted by (hub, i, j) → those with a candidate in another component."""
+    limit = most_bits(percent / 100)
+
+    def run(batches):
+        for t in sorted_groups(batches, ["hub", "i", "j"]):
+            comp, n, block = (t.column(c).to_numpy() for c in ("comp", "n", "block"))
+            sketch = fixed_width(t.column("sketch"), BITS // 64, np.int64).view(np.uint64)
+            i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+            left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+            wanted = np.zeros(t.num_rows, dtype=bool)
+            for k in range(0, len(left), 64):
+                a = left[k : k + 64][:, None]
+                near = comp[a] != comp[right]
+                near &= 100 * np.minimum(n[a], n[right]) >= percent * np.maximum(n[a], n[right])
+                near &= np.bitwise_count(sketch[a] ^ sketch[right]).sum(axis=2, dtype=np.int64) <= limit
+                wanted[a[near.any(axis=1), 0]] = True
+                wanted[right[near.any(axis=0)]] = True
+            if wanted.any():
+                yield from t.filter(pa.array(wanted)).select(["hub", "i", "j", "block", "rep", "comp"]).combine_chunks().to_batches()
+
+    return run
+
+
 def _across(percent: int):
     """Rows (hub, i, j, block, rep, comp, n, sketch, shingles) sorted by (hub, i, j) → links across components.
 
@@ -197,39 +230,44 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+def near_duplicates(documents: DataFrame, words: int = 4, percent: int = 80) -> DataFrame:
     """Table (doc_id, n_shingles, component_id, kept), one row per input row.
 
     Documents link where 100 * common >= percent * union; component_id is the smallest doc_id reachable by links.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.select("doc_id", F.xxhash64("text").alias("at"), "text")
     with Scratch(documents.sparkSession) as s:
         sig = s.table(
             docs.mapInArrow(
                 _signatures(words),
-                "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, sketch array<long>",
+                "doc_id long, at long, n_shingles long, k1 long, k2 long, bands array<long>, sketch array<long>",
             )
         )
-        classes = s.table(
-            sig.where("n_shingles > 0 and doc_id is not null")
-            .groupBy("k1", "k2")
-            .agg(
-                F.min("doc_id").alias("rep"),
-                F.first("n_shingles").alias("n"),
-                F.first("bands").alias("bands"),
-                F.first("sketch").alias("sketch"),
-            )
+        known = sig.where("n_shingles > 0 and doc_id is not null")
+        classes = known.groupBy("k1", "k2").agg(
+            F.min(F.struct("doc_id", "at")).alias("least"),
+            F.first("n_shingles").alias("n"),
+            F.first("bands").alias("bands"),
+            F.first("sketch").alias("sketch"),
         )
-        member = classes.select("rep", F.explode("bands").alias("b"))
+        classes = s.table(classes.withColumn("rep", F.monotonically_increasing_id()))
+        several = known.groupBy("doc_id").agg(F.min(F.struct("k1", "k2")).alias("x"), F.max(F.struct("k1", "k2")).alias("y"))
+        several = s.table(known.join(several.where("x <> y").select("doc_id"), "doc_id", "left_semi").select("doc_id", "k1", "k2").distinct())
+        several = several.join(classes.select("k1", "k2", "rep"), ["k1", "k2"]).select("doc_id", "rep")
+        own = several.join(several.groupBy("doc_id").agg(F.min("rep").alias("a")), "doc_id").select("a", F.col("rep").alias("b"))
+
+        member = classes.select("rep", "n", F.explode("bands").alias("b"))
         buckets = s.table(
             member.groupBy("b")
             .agg(F.count("*").alias("m"), F.min("rep").alias("low"))
             .where("m > 1")
         )
         met = s.table(member.join(buckets, "b"))  # only rows of buckets with company
-        wanted = met.select(F.col("rep").alias("id")).distinct().hint("merge")
-        texts = docs.join(wanted, docs.doc_id == wanted.id, "left_semi")
-        sets = s.table(texts.mapInArrow(_sets(words), "id long, shingles array<long>").distinct())
+        wanted = met.select(F.col("rep").alias("id")).distinct().join(classes.select(F.col("rep").alias("id"), "least.*"), "id")
+        wanted = wanted.withColumnsRenamed({"doc_id": "doc__", "at": "at__"}).hint("merge")
+        texts = docs.join(wanted, (docs["doc_id"] == wanted["doc__"]) & (docs["at"] == wanted["at__"])).select("id", "text")
+        sets = s.table(texts.mapInArrow(_sets(words), "id long, shingles array<long>"))
 
         traits = classes.select("rep", "n", "sketch")
         one, two = (traits.select(*(F.col(x).alias(f"{x}_{k}") for x in ("rep", "n", "sketch"))) for k in "ac")
@@ -244,39 +282,44 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
             .where(bits <= most_bits(percent / 100))
             .select("a", "c")
         )
-        links = s.table(_confirm(s.table(stars), sets, percent))
+        links = s.table(_confirm(s.table(stars), sets, percent).union(own))
         found = components(s, links)
 
-        mixed = met.where("m > 2").select("b", "low", "rep").join(found, F.col("rep") == F.col("node"), "left")
-        mixed = s.table(mixed.select("b", "low", "rep", F.coalesce("component", "rep").alias("comp")))
-        several = mixed.groupBy("b").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y")
-        mixed = mixed.join(several.select("b"), "b").groupBy("low", "rep").agg(F.first("comp").alias("comp"))
+        mixed = met.where("m > 2").select("b", "low", "rep", "n").join(found, F.col("rep") == F.col("node"), "left")
+        mixed = s.table(mixed.select("b", "low", "rep", "n", F.coalesce("component", "rep").alias("comp")))
+        apart = mixed.groupBy("b").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y")
+        mixed = mixed.join(apart.select("b"), "b").groupBy("low", "rep").agg(F.first("comp").alias("comp"), F.first("n").alias("n"))
         hub = found.select(F.col("node").alias("low"), F.col("component").alias("hub_comp"))
         mixed = mixed.join(hub, "low", "left").withColumn("main", F.col("comp") == F.coalesce("hub_comp", "low"))
-        mixed = s.table(mixed.select(F.col("low").alias("hub"), "rep", "comp", "main"))
-        sizes = mixed.groupBy("hub").agg(F.count_if("main").alias("m"), F.count_if(~F.col("main")).alias("o")).where("o > 0")
-        n_main, n_other = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("m", "o"))
-        place = F.xxhash64("rep")
+        mixed = s.table(mixed.select(F.col("low").alias("hub"), "rep", "comp", "n", "main"))
+        size = lambda of: F.greatest(F.count_if(of) / BLOCK, F.sum(F.when(of, F.col("n")).otherwise(0)) * 8 / BLOCK_BYTES)
+        sizes = mixed.groupBy("hub").agg(
+            F.ceil(size(F.col("main"))).cast("int").alias("n_main"), F.ceil(size(~F.col("main"))).cast("int").alias("n_other")
+        )
+        n_main, n_other, place = F.col("n_main"), F.col("n_other"), F.xxhash64("rep")
         rest = (
-            mixed.join(sizes, "hub")
+            mixed.join(sizes.where("n_other > 0"), "hub")
             .withColumn("block", F.when(F.col("main"), F.pmod(place, n_main)).otherwise(n_main + F.pmod(place, n_other)).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.when(F.col("main"), n_main).otherwise(F.lit(0)), n_main + n_other - 1)))
             .select("hub", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "comp")
             .join(traits, "rep")
-            .join(sets, F.col("rep") == F.col("id"))
-            .select("hub", "i", "j", "block", "rep", "comp", "n", "sketch", "shingles")
-        )
+            .select("hub", "i", "j", "block", "rep", "comp", "n", "sketch")
+        )
+        rest = s.table(by_key(rest, "hub", "i", "j").mapInArrow(_may_link(percent), "hub long, i int, j int, block int, rep long, comp long"))
+        rest = rest.join(traits, "rep").join(sets, F.col("rep") == F.col("id"))
+        rest = rest.select("hub", "i", "j", "block", "rep", "comp", "n", "sketch", "shingles")
         more = s.table(by_key(rest, "hub", "i", "j").mapInArrow(_across(percent), "a long, b long"))
         if not more.isEmpty():
             found = components(s, links.union(more))
 
-        named = classes.select("k1", "k2", "rep").join(found, F.col("rep") == F.col("node"), "left")
-        named = named.select("k1", "k2", F.coalesce("component", "rep").alias("component"))
+        named = classes.select("k1", "k2", "rep", "least.doc_id").join(found, F.col("rep") == F.col("node"), "left")
+        named = named.select("k1", "k2", "doc_id", F.coalesce("component", "rep").alias("component"))
+        smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+        named = named.join(smallest, "component").select("k1", "k2", "component_id")
         out = sig.select("doc_id", "n_shingles", "k1", "k2").join(named, ["k1", "k2"], "left")
-        own = F.when(F.col("n_shingles") > 0, F.least("component", "doc_id")).otherwise(F.col("doc_id"))
-        own = F.when(F.col("doc_id").isNotNull(), own)
+        own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
         return s.keep(
-            out.select("doc_id", "n_shingles", own.alias("component_id")).withColumn(
+            out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, own).otherwise(F.col("doc_id")).alias("component_id")).withColumn(
                 "kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True))
             )
         )
