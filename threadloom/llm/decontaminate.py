@@ -35,6 +35,7 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .names import fresh
 from .scratch import Scratch
 
 WINDOW, SHARE, SHORT, SLACK = 8, 0.5, 5, 8
@@ -228,6 +229,6 @@ def leaks(documents: DataFrame, benchmark: DataFrame, share: float = SHARE) -> D
 def drop_leaks(documents: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """The documents, all columns as they are, without those that hold a benchmark item."""
     ids = leaks(documents, benchmark, share).select("doc_id").distinct()
-    name = "leak_" + "_" * max(map(len, documents.columns))  # longer than any column's, so it clashes with none
+    (name,) = fresh(documents.columns, "leak")
     ids = ids.withColumnRenamed("doc_id", name)
     return documents.join(ids, documents["doc_id"].cast("long") == ids[name], "left_anti")

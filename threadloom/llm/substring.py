@@ -17,7 +17,8 @@ Rows of hot seeds, runs and hashes are not shuffled to one task (see skew).
 Texts are read whole; comparisons are by 64-bit hashes of seed and run.
 
 Nulls: a null text has no words; a row with a null doc_id keeps all its words and does not count as earlier. Windows
-within one document, also within rows that repeat its doc_id, do not count. Empty tables give empty results.
+within one document, also within rows that repeat its doc_id, do not count. Texts of any length are read whole. Of equal
+passages the smallest doc_id's stays, whatever else ties. Empty tables give empty results. Other columns pass through.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordhash as wh
+from .names import fresh
 from .scratch import Scratch
 from .skew import join_hot
 
@@ -132,13 +134,13 @@ def covered(spans: pa.StructArray | None, words: int, window: int) -> np.ndarray
     return np.cumsum(edge[:words]) > 0
 
 
-def _cut(window: int):
-    """Columns text and spans → kept_text, n_words, n_removed; the other columns pass through."""
+def _cut(window: int, text: str, span: str):
+    """The columns text and span → kept_text, n_words, n_removed; the other columns pass through."""
 
     def run(batches):
         for batch in batches:
             names = batch.schema.names
-            texts, spans = batch.column(names.index("text__")), batch.column(names.index("spans__"))
+            texts, spans = batch.column(names.index(text)), batch.column(names.index(span))
             kept, n, gone = [], [], []
             for k in range(batch.num_rows):
                 words = (texts[k].as_py() or "").encode().split()
@@ -151,8 +153,8 @@ def _cut(window: int):
                     gone.append(0)
                 kept.append(b" ".join(words).decode())
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i, x in enumerate(names) if x not in ("text__", "spans__")), pa.array(kept, pa.string()), pa.array(n, pa.int64()), pa.array(gone, pa.int64())],
-                [*(x for x in names if x not in ("text__", "spans__")), "kept_text", "n_words", "n_removed"],
+                [*(batch.column(i) for i, x in enumerate(names) if x not in (text, span)), pa.array(kept, pa.string()), pa.array(n, pa.int64()), pa.array(gone, pa.int64())],
+                [*(x for x in names if x not in (text, span)), "kept_text", "n_words", "n_removed"],
             )
 
     return run
@@ -195,18 +197,19 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW, gram: int = GRAM)
     if not 1 <= gram <= window:
         raise ValueError("a seed must fit into a window")
     new = ("kept_text", "n_words", "n_removed")
+    own = [c for c in documents.columns if c not in new]
+    text, key, span, id_ = fresh(documents.columns, "text", "key", "spans", "id")
     rows = documents.select(
-        *(documents[f"`{c}`"] for c in documents.columns if c not in new),
-        F.col("text").cast("string").alias("text__"),
-        F.xxhash64(F.col("text").cast("string")).alias("key__"),
+        *(documents[f"`{c}`"] for c in own),
+        F.col("text").cast("string").alias(text),
+        F.xxhash64(F.col("text").cast("string")).alias(key),
     )
     with Scratch(documents.sparkSession) as s:
-        docs = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("key__").alias("key"), F.col("text__").alias("text"))
-        spans = s.keep(
-            repeated_spans(s, docs, window, gram).select(F.col("doc_id").alias("id__"), F.col("key").alias("key__"), F.col("spans").alias("spans__"))
-        )
-    joined = rows.join(spans, (rows["doc_id"] == spans["id__"]) & (rows["key__"] == spans["key__"]), "left")
-    joined = joined.drop("id__", "key__")
-    out = [f for f in joined.schema.fields if f.name not in ("text__", "spans__")]
+        docs = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(key).alias("key"), F.col(text).alias("text"))
+        spans = repeated_spans(s, docs, window, gram)
+        spans = s.keep(spans.select(F.col("doc_id").alias(id_), F.col("key").alias(f"{key}_"), F.col("spans").alias(span)))
+    joined = rows.join(spans, (rows["doc_id"].cast("long") == spans[id_]) & (rows[key] == spans[f"{key}_"]), "left")
+    joined = joined.drop(id_, key, f"{key}_")
+    out = [f for f in joined.schema.fields if f.name not in (text, span)]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in out), "kept_text string, n_words long, n_removed long"])
-    return joined.mapInArrow(_cut(window), schema)
+    return joined.mapInArrow(_cut(window, text, span), schema)
