@@ -4,11 +4,15 @@ Keys are domains: a host is listed if it or a domain above it is. The cascade's
 listed keys. Over the complete key universe, all domains of all hosts of the table, the unlisted keys that it lets
 through form the second level, the listed keys that the second lets through the third, and so on until none is left. A
 key's answer is the level that first turns it away, so it is exact for every host of the table, and the test is an
-expression of hashes and array look-ups: no join, no Python. Only the levels' bits come to the driver; the first level's
-false-positive rate follows the ratio of listed to other keys, so that all levels together stay near
-listed * (log2(others / listed) + 3) bits, bounded by the list and not by the table.
-
-A null url, or one without `://`, has an empty host and path, no rule and the verdict allow. One row for each row.
+expression of hashes and array look-ups: no join, no Python. The first level's false-positive rate follows the ratio of
+listed to other keys, so that all levels together stay near listed * (log2(others / listed) + 3) bits. These come to the
+driver and go into the plan, PART_KEYS listed keys at a time: a longer list is cut by a hash of the key into parts, each
+with a cascade of its own over its part of the universe, and the table's hosts pass them one after the other. So neither
+the driver nor a task ever holds more than one part's bits, whatever the list and the table.
+
+A null url, or one without `://`, has an empty host and path, no rule and the verdict allow. One row for each row, also for
+repeated ids and rows; urls of any length are read whole; of rules that fit equally long ones the greater text wins. An
+empty table gives an empty result. Columns other than page_id and url are neither read nor in the way.
 """
 
 from __future__ import annotations
@@ -36,6 +40,8 @@ LISTED = (
     "free-bets.example.net",
     "spam-farm.example.org",
 )
+#: Listed keys in one cascade at most on average: some four megabytes of bits at a thousand other keys for each.
+PART_KEYS = 1 << 21
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -68,11 +74,11 @@ class Level:
             .distinct()
             .groupBy(F.expr("p div 64").cast("int").alias("word"))
             .agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("bits"))
-            .collect()
+            .toArrow()
         )
         words = [0] * (self.bits // 64)
-        for r in rows:
-            words[r["word"]] = r["bits"]
+        for at, bits in zip(rows.column("word").to_pylist(), rows.column("bits").to_pylist()):
+            words[at] = bits
         self.words = F.split(F.lit(",".join(map(str, words))), ",").cast("array<bigint>")
 
     def places(self, key: Column) -> list[Column]:
@@ -119,8 +125,20 @@ def judge(pages: DataFrame, rules=RULES, block_list=LISTED) -> DataFrame:
         block_list = spark.createDataFrame([(k,) for k in block_list], "key string")
     keys = block_list.select(F.translate(F.col(block_list.columns[0]), _UPPER, _LOWER).alias("key"))
     with Scratch(spark) as s:
-        universe = rows.select("host").distinct().select(F.explode(domains(F.col("host"))).alias("key")).distinct()
-        levels = cascade(s, universe, keys.where("key <> ''").distinct())
+        universe = s.table(rows.select("host").distinct().select(F.explode(domains(F.col("host"))).alias("key")).distinct())
+        keys = s.table(keys.where("key <> ''").distinct().join(universe, "key", "left_semi"))
+        parts = max(1, -(-keys.count() // PART_KEYS))
+        part = lambda key: F.pmod(F.xxhash64(key, F.lit(-1)), F.lit(parts))
+        on_list = F.lit(False)
+        for p in range(parts):
+            levels = cascade(s, universe.where(part(F.col("key")) == p), keys.where(part(F.col("key")) == p))
+            if levels:
+                here = F.exists(domains(F.col("host")), lambda k: (part(k) == p) & listed(levels, k) if parts > 1 else listed(levels, k))
+                on_list = on_list | here
+            if parts > 1:
+                rows = s.table(rows.withColumn("listed", on_list))
+                on_list = F.col("listed")
+        rows = s.keep(rows) if parts > 1 else rows
     fits = []
     for rule_host, rule_path, verdict in rules:
         same = (F.col("host") == rule_host) | F.endswith(F.col("host"), F.lit("." + rule_host))
@@ -128,7 +146,6 @@ def judge(pages: DataFrame, rules=RULES, block_list=LISTED) -> DataFrame:
         name = rule_host + rule_path
         fits.append(F.when(here, F.struct(F.lit(len(name)).alias("n"), F.lit(name).alias("rule"), F.lit(verdict).alias("verdict"))))
     best = F.array_max(F.array_compact(F.array(*fits))) if fits else F.lit(None).cast("struct<n:int,rule:string,verdict:string>")
-    on_list = F.exists(domains(F.col("host")), lambda k: listed(levels, k)) if levels else F.lit(False)
     other = F.when(on_list, F.lit("block")).otherwise(F.lit("allow"))
     return rows.withColumn("best", best).select(
         "page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", other).alias("verdict")
