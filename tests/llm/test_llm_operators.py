@@ -113,6 +113,8 @@ def test_repeats(docs, nothing):
         assert (r.n_words, r.n_removed, r.kept_text) == (len(w), sum(gone), kept)
     assert any(0 < r.n_removed < r.n_words for r in rows)
     assert substring.remove_repeats(nothing).count() == 0
+    clash = docs.select("doc_id", "text", *(F.lit(k).alias(c) for k, c in enumerate(("key__", "text__", "spans__", "id__", "first", "seed"))))
+    assert sorted(r.n_removed for r in substring.remove_repeats(clash).collect()) == sorted(r.n_removed for r in rows)
 
 
 @pytest.mark.parametrize("share", [1, 4, 512])
@@ -219,11 +221,66 @@ def test_classifiers(spark, docs, nothing, operator):
     held = [r for r in scored if r.held_out]
     assert len(scored) == 400 and len(held) > 50
     assert sum(r.predicted == r[which] for r in held) / len(held) > 0.95
+    many = spark.createDataFrame([(k, f"w{k % 7} x") for k in range(3000)] + [(9000, prose(20000)), (9001, rows[1][1]), (9001, rows[1][1])], SCHEMA)
+    many = operator(many, labels).collect()
+    assert len(many) == 3003 and len({r.score for r in many if r.doc_id == 9001}) == 1
     odd = operator(docs, labels).collect()
     assert len(odd) == len(DOCS) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in odd)
     assert operator(docs, labels.limit(0)).count() == len(DOCS) and operator(nothing, labels).count() == 0
 
 
+def test_isotonic_is_the_nearest_monotone_fit():
+    """Against the formula: each value is the greatest over beginnings of the least over ends of the mean between."""
+    import numpy as np
+
+    from threadloom.llm.boosting import isotonic
+
+    g = np.random.default_rng(1)
+    x = np.sort(g.standard_normal(60))
+    y, w = (g.random(60) < 1 / (1 + np.exp(-x))).astype(float), g.integers(1, 4, 60).astype(float)
+    mean = lambda a, b: (y[a : b + 1] * w[a : b + 1]).sum() / w[a : b + 1].sum()
+    want = [max(min(mean(a, b) for b in range(k, 60)) for a in range(k + 1)) for k in range(60)]
+    order = g.permutation(60)
+    assert np.allclose(isotonic(x[order], y[order], w[order])(x), want)
+
+
+def test_a_stump_is_the_best_split():
+    """One tree of depth one takes the cut with the greatest gain, and Newton steps in its leaves."""
+    import numpy as np
+
+    from threadloom.llm.boosting import boost
+
+    g = np.random.default_rng(3)
+    x, best = g.standard_normal((200, 4)), None
+    y = (x[:, 2] + 0.5 * g.standard_normal(200) > 0.3).astype(float)
+    tree = boost(x, y, trees=1, depth=1, rate=1.0)
+    p = y.mean()
+    for f in range(4):
+        for c in np.unique(np.quantile(x[:, f], np.linspace(0, 1, 49)[1:-1])):
+            side = x[:, f] > c
+            score = sum((y[m] - p).sum() ** 2 / (m.sum() * p * (1 - p) + 2) for m in (side, ~side))
+            best = max(best or (0,), (score, f, c))
+    assert tree.trees[0].feature[0] == best[1] and np.isclose(tree.trees[0].cut[0], best[2])
+    m = x[:, best[1]] <= best[2]
+    assert np.isclose(tree.trees[0].value[0], (y[m] - p).sum() / (m.sum() * p * (1 - p) + 2))
+
+
+def test_votes_of_the_nearest():
+    """Against a plain loop over all labelled vectors."""
+    import numpy as np
+
+    g = np.random.default_rng(5)
+    unit = lambda n: (v := g.standard_normal((n, 12))) / np.linalg.norm(v, axis=1, keepdims=True)
+    held, z = unit(90), unit(40)
+    y, weight = g.integers(0, 2, 90).astype(float), g.random(90) + 0.1
+    got = quality.Neighbours(None, None, None, held, y, weight, 0.25).score(z)
+    for k in range(40):
+        near = sorted(range(90), key=lambda m: -(z[k] @ held[m]))[: quality.NEIGHBOURS]
+        vote = [max(0.0, z[k] @ held[m]) ** quality.POWER * weight[m] for m in near]
+        want = (sum(v * y[m] for v, m in zip(vote, near)) + 1e-9 * 0.25) / (sum(vote) + 1e-9)
+        assert abs(got[k] - want) < 1e-9
+
+
 def brute_force_vectors(rows):
     import numpy as np
 
@@ -283,7 +340,7 @@ def test_embeddings_recall_near_the_threshold(spark, width, groups):
     assert 0.9 * want <= got <= want
 
 
-def test_urls(spark):
+def test_urls(spark, monkeypatch):
     urls = ["http://WWW.Example.com/en/a", "https://a.example.com/en/?q", "x://net/es/", "ftp://b.net/fr/#x", "http://spam-farm.example.org/x", "http://www.spam-farm.example.org", "http://notspam-farm.example.org/", None, "nothing", "http://é.com/", "http://a.example.com?/en/", "http://com/"]
     got = [tuple(r)[1:] for r in url_filter.judge(spark.createDataFrame([(k, u, "x") for k, u in enumerate(urls)], "page_id long, url string, host string").coalesce(1)).collect()]
     assert got[:4] == [("www.example.com", "/en/a", "www.example.com/en/", "allow"), ("a.example.com", "/en/", "example.com/en/", "block"), ("net", "/es/", "net/es/", "block"), ("b.net", "/fr/", "net/fr/", "block")]
@@ -293,6 +350,9 @@ def test_urls(spark):
     many = spark.createDataFrame([(k, f"http://{h}/") for k, h in enumerate(hosts)], "page_id long, url string")
     out = {r.host for r in url_filter.judge(many, (), spark.createDataFrame([(h,) for h in hosts[::7]], "d string")).where("verdict = 'block'").collect()}
     assert out == set(hosts[::7])
+    monkeypatch.setattr(url_filter, "PART_KEYS", 150)
+    out = {r.host for r in url_filter.judge(many, (), spark.createDataFrame([(h,) for h in [*hosts[::7], "elsewhere.example"]], "d string")).where("verdict = 'block'").collect()}
+    assert out == set(hosts[::7])
     assert url_filter.judge(many.limit(0)).count() == 0
 
 

@@ -6,12 +6,17 @@ hits that only show once those are undone). The lexicon holds words and word beg
 their log-odds on the training rows after undoing obfuscation, so inflected forms that were never seen still match.
 
 Training takes at most PER_CLASS labelled rows of each class (a documented bound); rows held out for testing are never
-among them. Labels, language, source and id are no inputs of a score. Scoring covers every text whole, in Arrow
-batches; nothing is shuffled but the lexicon's counts on the sample. Isotonic regression is fitted on predictions made
-across folds and weighted back to the labels' true rates; a fiftieth of the raw probability orders equal steps.
+among them. A term enters the lexicon if LEAST_ROWS toxic rows of these have it and its log-odds are LEAST_ODDS at least;
+the LEXICON terms with the greatest log-odds times root of that number stay, ties by hash. These bounds shape the model
+only, no row is dropped by them. Labels, language, source and id are no inputs of a score. Scoring covers every text
+whole, in Arrow batches; nothing is shuffled but the lexicon's counts on the sample. Isotonic regression is fitted on
+predictions made across FOLDS folds, by lexicons and trees that have not seen the fold, and weighted back to the labels'
+true rates; a fiftieth of the raw probability orders equal steps. Equal texts share a fold.
 
 A null or empty text has all rates 0 and gets the score that these give. Without labels of both classes every score is
-the rate of the class there is, or 0. One row comes out for each row that goes in.
+the rate of the class there is, or 0. One row comes out for each row that goes in, also for repeated rows and ids and null
+ids, none for an empty table. Equal scores stay equal. Memory follows a group of texts of some megabytes, or one longer
+text. Columns other than doc_id and text are neither read nor in the way.
 """
 
 from __future__ import annotations
@@ -26,9 +31,10 @@ from pyspark.sql import functions as F
 from . import wordhash as wh
 from .boosting import Boosted, Isotonic, boost, isotonic
 from .labelled import held_out, training_rows
+from .names import fresh
 from .scratch import Scratch
 
-PER_CLASS, LEXICON, THRESHOLD = 5000, 4096, 0.7
+PER_CLASS, LEXICON, LEAST_ROWS, LEAST_ODDS, FOLDS, THRESHOLD = 5000, 4096, 3, 2, 4, 0.7
 PREFIXES = (4, 5, 6, 7)
 NEAR = 6
 #: Second-person pronouns in the corpus's languages.
@@ -160,28 +166,28 @@ def features(g: wh.Group, lexicon: Lexicon) -> np.ndarray:
 
 
 def _sample_terms(batches):
+    """(text, y, fold) → (term, y, fold) of each row's distinct terms."""
     for batch in batches:
-        y = batch.column(1).to_numpy()
+        y, fold = batch.column(1).to_numpy(), batch.column(2).to_numpy()
         for g in wh.groups(batch.column(0)):
             plain, _ = undisguised(g)
             found = terms(plain)
             for k in range(g.last - g.first):
                 mine = np.unique(found[plain.word_of[k] : plain.word_of[k + 1]])
                 mine = mine[mine != 0].view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(mine), pa.array(np.full(len(mine), y[g.first + k], dtype=np.int32))], ["term", "y"]
-                )
+                same = (np.full(len(mine), v[g.first + k], dtype=np.int32) for v in (y, fold))
+                yield pa.RecordBatch.from_arrays([pa.array(mine), *map(pa.array, same)], ["term", "y", "fold"])
 
 
-def _sample_features(lexicon: Lexicon):
+def _sample_features(lexicons: list[Lexicon]):
+    """(text, y, fold) → (x, y, fold), x holding the features by each lexicon, one after the other."""
+
     def run(batches):
         for batch in batches:
-            y = batch.column(1).to_numpy()
             for g in wh.groups(batch.column(0)):
-                x = features(g, lexicon)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(x), pa.list_(pa.float64())), pa.array(y[g.first : g.last])], ["x", "y"]
-                )
+                x = np.concatenate([features(g, lexicon) for lexicon in lexicons], axis=1)
+                rest = (batch.column(k).slice(g.first, g.last - g.first) for k in (1, 2))
+                yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), *rest], ["x", "y", "fold"])
 
     return run
 
@@ -203,32 +209,39 @@ class Model:
 def fit(documents: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int = 1, per_class: int = PER_CLASS) -> Model:
     with Scratch(documents.sparkSession) as s:
         sample, counts = training_rows(documents, labels, "toxic", modulus, remainder, per_class)
-        sample = s.table(sample.select("text", "y"))
-        have = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
-        n0, n1 = have.get(0, 0), have.get(1, 0)
+        fold = F.pmod(F.xxhash64(F.coalesce("text", F.lit("")), F.lit(5)), F.lit(FOLDS)).cast("int")
+        sample = s.table(sample.select("text", "y", fold.alias("fold")))
+        rows = sample.groupBy("fold", "y").count().collect()
+        have = np.zeros((FOLDS, 2), dtype=np.int64)
+        for r in rows:
+            have[r["fold"], r["y"]] = r["count"]
+        n0, n1 = have.sum(axis=0).tolist()
         if not (n0 and n1):
             return Model(Lexicon(np.zeros(0, np.uint64), np.zeros(0)), None, None, 1.0 if n1 else 0.0)
-        found = sample.mapInArrow(_sample_terms, "term long, y int").groupBy("term")
-        found = found.agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("f"))
-        odds = F.log((F.col("t") + 0.5) / (n1 + 1)) - F.log((F.col("f") + 0.5) / (n0 + 1))
-        found = found.where("t >= 3").withColumn("w", odds).where("w >= 2")
-        top = found.orderBy(F.desc(F.col("w") * F.sqrt("t")), "term").limit(LEXICON).select("term", "w").collect()
-        lexicon = Lexicon(
-            np.array([r["term"] for r in top], dtype=np.int64).view(np.uint64), np.array([r["w"] for r in top])
-        )
-        rows = sample.mapInArrow(_sample_features(lexicon), "x array<double>, y int").collect()
-        x = np.array([r["x"] for r in rows])
-        y = np.array([r["y"] for r in rows], dtype=float)
-        order = np.lexsort(np.column_stack([x, y]).T)  # the same model whatever order the rows came in
-        x, y = x[order], y[order]
-        fold, margin = np.arange(len(y)) % 4, np.zeros(len(y))
-        for k in range(4):
-            margin[fold == k] = boost(x[fold != k], y[fold != k], trees=30).margin(x[fold == k])
-        weight = np.where(y == 1, counts[1] / n1, counts[0] / n0)
-        return Model(lexicon, boost(x, y), isotonic(margin, y, weight), y.mean())
-
-
-def _score(model: Model, threshold: float):
+        seen = sample.mapInArrow(_sample_terms, "term long, y int, fold int")
+        seen = s.table(seen.groupBy("term").agg(*(F.count_if((F.col("y") == y) & (F.col("fold") == k)).alias(f"{x}{k}") for k in range(FOLDS) for y, x in enumerate("ft"))))
+        lexicons = []
+        for left_out in (None, *range(FOLDS)):
+            t, f = (sum(F.col(f"{x}{k}") for k in range(FOLDS) if k != left_out) for x in "tf")
+            m0, m1 = have[[k for k in range(FOLDS) if k != left_out]].sum(axis=0).tolist()
+            found = seen.select("term", t.alias("t"), f.alias("f")).where(F.col("t") >= LEAST_ROWS)
+            found = found.withColumn("w", F.log((F.col("t") + 0.5) / (m1 + 1)) - F.log((F.col("f") + 0.5) / (m0 + 1)))
+            top = found.where(F.col("w") >= LEAST_ODDS).orderBy(F.desc(F.col("w") * F.sqrt("t")), "term").limit(LEXICON).select("term", "w").collect()
+            lexicons.append(Lexicon(np.array([r["term"] for r in top], dtype=np.int64).view(np.uint64), np.array([r["w"] for r in top])))
+        rows = sample.mapInArrow(_sample_features(lexicons), "x array<double>, y int, fold int").toArrow()
+    x = rows.column("x").combine_chunks().flatten().to_numpy().reshape(rows.num_rows, len(lexicons), _N_FEATURES)
+    y, fold = rows.column("y").to_numpy().astype(float), rows.column("fold").to_numpy()
+    order = np.lexsort(np.column_stack([x[:, 0], y]).T)  # the same model whatever order the rows came in
+    x, y, fold = x[order], y[order], fold[order]
+    margin = np.zeros(len(y))
+    for k in range(FOLDS):
+        if (fold == k).any() and len(np.unique(y[fold != k])) == 2:
+            margin[fold == k] = boost(x[fold != k, 1 + k], y[fold != k], trees=30).margin(x[fold == k, 1 + k])
+    weight = np.where(y == 1, counts[1] / n1, counts[0] / n0)
+    return Model(lexicons[0], boost(x[:, 0], y), isotonic(margin, y, weight), y.mean())
+
+
+def _score(model: Model, threshold: float, new: tuple[str, str] = ("score", "predicted")):
     def run(batches):
         for batch in batches:
             text = batch.column(batch.num_columns - 1)
@@ -236,7 +249,7 @@ def _score(model: Model, threshold: float):
             score = np.concatenate(score) if score else np.zeros(0)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(score), pa.array((score >= threshold).astype(np.int32))],
-                [*batch.schema.names[:-1], "score", "predicted"],
+                [*batch.schema.names[:-1], *new],
             )
 
     return run
@@ -260,7 +273,8 @@ def drop_toxic(documents: DataFrame, labels: DataFrame, threshold: float = THRES
     """The documents, all columns as they are, without those whose score reaches the threshold."""
     model = fit(documents, labels)
     names = documents.columns
-    rows = documents.select("*", F.col("text").cast("string").alias("text__"))
+    text, score, predicted = fresh(names, "text", "score", "predicted")
+    rows = documents.select("*", F.col("text").cast("string").alias(text))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields)
-    scored = rows.mapInArrow(_score(model, threshold), schema + ", score__ double, predicted__ int")
-    return scored.where("predicted__ = 0").select(*(f"`{c}`" for c in names))
+    scored = rows.mapInArrow(_score(model, threshold, (score, predicted)), f"{schema}, {score} double, {predicted} int")
+    return scored.where(F.col(predicted) == 0).select(*(f"`{c}`" for c in names))
