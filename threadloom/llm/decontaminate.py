@@ -54,9 +54,9 @@ _END = rf"(?!{_LETTER})"
 _UNIT = "|".join(re.escape(u) for u in sorted(UNITS.split(), key=len, reverse=True))
 # loops are possessive, as Java's other loops over groups take stack for each turn and overflow on long runs
 NUMBER = rf"(?:[$€£]{_SPACE}?+)?+[0-9]++(?:[.,:/][0-9]++)*+(?:{_SPACE}*+(?i:{_UNIT}){_END})?+"
-_NAME = rf"(?!(?:{'|'.join(FUNCTION.split())}){_END})\p{{Lu}}{_LETTER}++"
+_NAME = rf"(?=\p{{Lu}})(?!(?:{'|'.join(FUNCTION.split())}){_END})\p{{Lu}}{_LETTER}++"
 NAME = rf"{_NAME}(?:(?:-|{_SPACE}++){_NAME})*+"
-TOKEN = rf"{NUMBER}|{NAME}|{_LETTER}++"
+TOKEN = rf"\p{{Ll}}{_LETTER}*+|{NUMBER}|{NAME}|{_LETTER}++"  # most words are settled by the first branch
 _QUANTITY, _NUMBER, _PERSON = "<quantity>", "<number>", "<name>"  # no word holds such signs
 _FUNCTION_SQL = ", ".join(f"'{w}'" for w in sorted(set(FUNCTION.split())))
 
@@ -74,7 +74,7 @@ def _slot(t: str) -> str:
     """SQL: the placeholder for a token, null for a word. Its first character tells: only numbers begin with a digit or sign."""
     digit = "ascii({}) BETWEEN 48 AND 57".format
     return (
-        f"CASE WHEN {digit(t)} THEN if({digit(f'right({t}, 1)')}, '{_NUMBER}', '{_QUANTITY}') WHEN left({t}, 1) IN ('$', '€', '£') THEN '{_QUANTITY}' "
+        f"CASE WHEN ascii({t}) BETWEEN 97 AND 122 THEN NULL WHEN {digit(t)} THEN if({digit(f'right({t}, 1)')}, '{_NUMBER}', '{_QUANTITY}') WHEN left({t}, 1) IN ('$', '€', '£') THEN '{_QUANTITY}' "
         f"WHEN length({t}) > 1 AND left({t}, 1) <> lower(left({t}, 1)) AND {t} NOT IN ({_FUNCTION_SQL}) THEN '{_PERSON}' END"
     )
 
@@ -143,10 +143,12 @@ def _met(docs: DataFrame, hashes: DataFrame, lengths: dict[str, list[int]], smal
     rows = []
     for seed, kind in enumerate(("words", "plain")):
         rows += [F.col(f"{kind}_hashes"), *(_of_length(kind, n, seed) for n in lengths[kind])]
-    numbered = [F.transform(h, lambda x, k: F.struct(k.alias("place"), x.alias("hash"))) for h in rows]
+    begins = F.array(*(sum((F.size(h) for h in rows[:k]), F.lit(0)) for k in range(len(rows))))
     # the outer form, as a filter on the array's size would be pushed down and compute all its steps again
-    probes = probes.select("doc_id", "key", F.explode_outer(F.concat(*numbered)).alias("x")).select("doc_id", "key", "x.place", "x.hash")
-    return probes.join(F.broadcast(hashes) if small else hashes, "hash")
+    probes = probes.select("doc_id", "key", begins.alias("begins"), F.posexplode_outer(F.concat(*rows)).alias("nth", "hash"))
+    met = probes.join(F.broadcast(hashes) if small else hashes, "hash")
+    begin = F.array_max(F.filter("begins", lambda b: b <= F.col("nth")))  # of equal ones all but the last are empty
+    return met.select("doc_id", "key", (F.col("nth") - begin).alias("place"), "hash")
 
 
 def _judged(place: Column) -> Column:
