@@ -124,8 +124,8 @@ def test_recall_on_items_with_other_values(spark):
 
 
 def test_slots_must_agree_somewhere(spark):
-    item = "A farmer sold 12 sheep to Mary for 300 dollars each and then Mary bought 4 more sheep from the same farmer for Mary and 4 dollars."
-    mixed = "A farmer sold 4 sheep to Ann for 4 dollars each and then Ed bought 5 more sheep from the same farmer for Lou and 6 dollars."
+    item = "A farmer sold 12 sheep to Mary for 300 dollars each and then Mary bought 4 more sheep from the same farmer for Mary and 4 dollars of 4 dollars."
+    mixed = "A farmer sold 4 sheep to Ann for 4 dollars each and then Ed bought 5 more sheep from the same farmer for Lou and 6 dollars of 7 dollars."
     twice = item.replace("sold 12", "sold 4").replace("to Mary", "to Ed")
     item_2 = "Mary has 12 apples and 3 pears. Tom takes 3 pears from Mary and gives 2 back to her."
     rows = [
