@@ -1,66 +1,92 @@
-"""Sentence-aware overlapping chunks, as an Arrow-batched function over sentences that Spark has split."""
+"""Overlapping chunks of whole sentences, planned on cumulative sentence lengths.
+
+Sentences longer than a chunk are cut by themselves. The others form one row of lengths, and since a chunk is a run of
+that row, its last sentence and the first one of the chunk behind it are found by binary search in the running totals: one
+step for each chunk, however many sentences it has. A plan holds numbers of sentences only; texts are joined afterwards.
+
+fixed values: offsets count the stream of sentences, each with one character behind it, less the overlap's length at the
+beginning of a chunk that repeats sentences; so they drift from the places in the source, which stand beside them.
+"""
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
+
 import pandas as pd
 from pyspark.sql import functions as F
 
 CHUNK = "array<struct<text:string,start:int,end:int,source_start:int,source_end:int>>"
+_BREAK = re.compile(r"(?<=[.!?])\s+|(?:\r?\n){2,}")
 
 
-def pack(sentences: list[str], size: int, overlap: int) -> list[tuple[str, int, int, int, int]]:
-    """(text, start, end, first sentence, last sentence) of each chunk.
-
-    Sentences gather until the next would make more than `size` characters; the chunk's tail of at most `overlap`
-    characters opens the next one. A longer sentence is cut into pieces that overlap. Offsets count the stream of
-    sentences as the thresholds do, so they drift after an overlap and restart after a cut sentence.
-    """
-    out, held, length, at, begin = [], [], 0, 0, 0
-    for number, sentence in enumerate(sentences):
-        n = len(sentence)
-        if held and length + n > size:
-            text = " ".join(sentences[k] for k in held)
-            out.append((text, begin, begin + len(text), held[0], held[-1]))
-            first, length = len(held), 0
-            while first and length + len(sentences[held[first - 1]]) <= overlap:
-                first -= 1
-                length += len(sentences[held[first]])
-            held, begin = held[first:], at - length
-        if n > size:
-            for k in range(0, n, size - overlap):
-                piece = sentence[k : k + size]
-                out.append((piece, at + k, at + k + len(piece), number, number))
-        else:
-            held.append(number)
-            length += n
-        at += n + 1
-    if held:
-        text = " ".join(sentences[k] for k in held)
-        out.append((text, begin, begin + len(text), held[0], held[-1]))
+def sentence_places(text: str) -> list[tuple[int, int]]:
+    """Where each sentence begins and ends in the text, without white space around it."""
+    ends = [(m.start(), m.end()) for m in _BREAK.finditer(text)]
+    out = []
+    for a, b in zip([0, *(e for _, e in ends)], [*(s for s, _ in ends), len(text)]):
+        piece = text[a:b]
+        bare = piece.strip()
+        if bare:
+            at = a + len(piece) - len(piece.lstrip())
+            out.append((at, at + len(bare)))
     return out
 
 
+def plan(lengths: list[int], size: int, overlap: int) -> list[tuple[list[int] | int, int, int]]:
+    """Chunks in order: (numbers of the sentences, offset, 0), or for a piece of a long one (its number, offset, where cut)."""
+    stream = [0, *accumulate(n + 1 for n in lengths)]  # where each sentence begins in the stream
+    short = [k for k, n in enumerate(lengths) if n <= size]
+    total = [0, *accumulate(lengths[k] for k in short)]
+    cuts = {k: bisect_left(short, k) for k, n in enumerate(lengths) if n > size}  # short sentences before each long one
+    out: list[tuple[list[int] | int, int, int]] = []
+    first, offset, least = 0, 0, 1  # a chunk ends behind `least` short sentences or later
+
+    def close(last: int, follower: int) -> None:
+        """Ends the chunk first..last-1; the next one repeats its last sentences, up to `overlap` characters of them."""
+        nonlocal first, offset, least
+        out.append((short[first:last], offset, 0))
+        first = bisect_left(total, total[last] - overlap, first, last + 1)
+        offset = stream[follower] - (total[last] - total[first])
+        least = max(last + (lengths[follower] <= size), first + 1)
+
+    def run(last: int) -> None:
+        """Chunks that are full before the short sentence `last`."""
+        while (full := max(bisect_right(total, total[first] + size) - 1, least)) < last:
+            close(full, short[full])
+
+    for k, before in cuts.items():
+        run(before)
+        if before > first:
+            close(before, k)
+        out += [(k, stream[k] + at, at) for at in range(0, lengths[k], size - overlap)]
+    run(len(short))
+    if len(short) > first:
+        out.append((short[first:], offset, 0))
+    return out
+
+
+def cut(text: str, size: int, overlap: int) -> list[dict]:
+    places = sentence_places(text)
+    said = [text[a:b].replace("\r\n", "\n") for a, b in places]
+    rows = []
+    for which, offset, at in plan([len(s) for s in said], size, overlap):
+        if isinstance(which, int):
+            piece, a, b = said[which][at : at + size], which, which
+        else:
+            piece, a, b = " ".join(said[k] for k in which), which[0], which[-1]
+        rows.append({"text": piece, "start": offset, "end": offset + len(piece), "source_start": places[a][0], "source_end": places[b][1]})
+    return rows
+
+
 def chunker(size: int, overlap: int):
-    """(source text, its sentences) → chunks; source_start and source_end are true places, null if not found."""
+    """Source text → chunks; source_start and source_end are where their sentences stand in it."""
     if not 0 <= overlap < size:
         raise ValueError("the overlap must be smaller than the chunk")
 
     @F.pandas_udf(CHUNK)
-    def chunks(texts: pd.Series, lists: pd.Series) -> pd.Series:
-        rows = []
-        for text, sentences in zip(texts, lists):
-            sentences = [] if sentences is None else list(sentences)
-            places, at = [], 0
-            for s in sentences:
-                found = (text or "").find(s, at)
-                places.append((found, found + len(s)) if found >= 0 else (None, None))
-                at = max(at, found + len(s)) if found >= 0 else at
-            rows.append(
-                [
-                    {"text": t, "start": a, "end": b, "source_start": places[i][0], "source_end": places[j][1]}
-                    for t, a, b, i, j in pack(sentences, size, overlap)
-                ]
-            )
-        return pd.Series(rows)
+    def chunks(texts: pd.Series) -> pd.Series:
+        return pd.Series([cut(t or "", size, overlap) for t in texts])
 
     return chunks

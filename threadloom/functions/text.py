@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 # fixed values: words that names lose
 NAME_STOPWORDS = ("the", "a", "an", "of", "for", "in", "on", "at", "to", "by")
-_SPACE = r"(?U)^\s+|\s+\z"
+_SPACE = r"(?U)^\s++|(?<!\s)\s++\z"  # a run inside the text is tried once, not from each of its characters
 
 
 def strip(text: Column) -> Column:
@@ -36,15 +36,15 @@ def _accents() -> tuple[str, str, tuple[tuple[str, str], ...]]:
 
 
 def fold_accents(text: Column) -> Column:
-    """Compatibility forms without combining marks, for the basic plane; stays in the JVM."""
+    """Compatibility forms without combining marks, for the basic plane; stays in the JVM. ASCII texts are left alone."""
     one, to, longer = _accents()
-    text = F.translate(text, one, to)
+    plain = F.translate(text, one, to)
     letters = "".join(c for c, _ in longer)
-    widened = text
-    for c, plain in longer:
-        widened = F.replace(widened, F.lit(c), F.lit(plain))
-    text = F.when(text.rlike(f"[{letters}]"), widened).otherwise(text)
-    return F.regexp_replace(text, r"\p{Mn}+", "")
+    widened = plain
+    for c, form in longer:
+        widened = F.replace(widened, F.lit(c), F.lit(form))
+    folded = F.when(plain.rlike(f"[{letters}]"), widened).otherwise(plain)
+    return F.when(text.rlike(r"[^\x00-\x7F]"), F.regexp_replace(folded, r"\p{Mn}+", "")).otherwise(text)
 
 
 def sentences(text: Column) -> Column:

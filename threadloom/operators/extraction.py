@@ -188,11 +188,20 @@ def extraction_totals(validated: DataFrame) -> DataFrame:
     )
 
 
+def _position(nth: str) -> Column:
+    """Where in the input something was said, as text that sorts as the numbers in it do: issue, artifact, chunk, place."""
+    chunk = F.regexp_extract("chunk_id", r"_chunk_(\d+)$", 1)
+    comment = F.regexp_extract("artifact_id", r"_comment_(\d+)$", 1)
+    parts = (F.col("issue_number").cast("string"), comment, F.col("artifact_id"), chunk, F.col("chunk_id"), F.col(nth).cast("string"))
+    wide = lambda c: F.lpad(F.coalesce(c, F.lit("")), 20, "0")
+    return F.concat_ws("/", *(c if k in (2, 4) else wide(c) for k, c in enumerate(parts)))
+
+
 def raw_claims(validated: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """A row for each claim with where it was said; pos is its place in the input's order."""
     c = validated.select("*", F.posexplode("extraction.claims").alias("nth", "c"))
     return c.select(
-        F.concat_ws("/", "chunk_id", F.lpad(F.col("nth").cast("string"), 6, "0")).alias("pos"),
+        _position("nth").alias("pos"),
         F.col("c.subject").alias("subject"),
         F.col("c.relation").alias("relation"),
         F.col("c.object").alias("object"),
@@ -207,6 +216,6 @@ def raw_claims(validated: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
 
 def mentioned_entities(validated: DataFrame) -> DataFrame:
     """(name, type, pos) of every entity in every record."""
-    e = validated.select("chunk_id", F.posexplode("extraction.entities").alias("nth", "e"))
-    pos = F.concat_ws("/", "chunk_id", F.lpad(F.col("nth").cast("string"), 6, "0"))
+    e = validated.select("chunk_id", "artifact_id", "issue_number", F.posexplode("extraction.entities").alias("nth", "e"))
+    pos = _position("nth")
     return e.select(strip(F.col("e.name")).alias("name"), F.col("e.type").alias("type"), pos.alias("pos")).where("name <> ''")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Settings
 from ..functions.chunking import chunker
-from ..functions.text import sentences, strip
+from ..functions.text import strip
 from ..schemas import BOTS, RAW_ISSUES
 
 _USER = "struct<login:string>"
@@ -113,7 +113,7 @@ def chunks(rows: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
             F.length("text").alias("source_end"),
         )
     )
-    people = rows.where("not is_bot").withColumn("pieces", cut(F.col("text"), sentences(F.col("text"))))
+    people = rows.where("not is_bot").withColumn("pieces", cut(F.col("text")))
     parts = people.unionByName(rows.where("is_bot").withColumn("pieces", whole))
     parts = parts.select("*", F.posexplode("pieces").alias("nth", "piece"))
     return parts.select(

@@ -55,7 +55,7 @@ def ontology_check(claims: DataFrame) -> DataFrame:
     """Typed claims with fits: whether the relation may lead from and to these types; null for relations without a rule."""
     spark = claims.sparkSession
     rules = spark.createDataFrame(
-        [(r, a.split(), b.split()) for r, (a, b) in ONTOLOGY.items()], "relation string, from_types array<string>, to_types array<string>"
+        [(r, list(a), list(b)) for r, (a, b) in ONTOLOGY.items()], "relation string, from_types array<string>, to_types array<string>"
     )
     fits = F.array_contains("from_types", F.col("subject_type")) & F.array_contains("to_types", F.col("object_type"))
     return claims.join(F.broadcast(rules), "relation", "left").withColumn("fits", fits).drop("from_types", "to_types")

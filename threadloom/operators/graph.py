@@ -157,12 +157,9 @@ def subgraph(node_rows: DataFrame, edge_rows: DataFrame, type_: str | None = Non
     return n, between(e, n)
 
 
-def _colour(of: Column, table: str) -> Column:
-    words = table.split()
-    out = F.lit("#aaa")
-    for name, colour in zip(words[::2], words[1::2]):
-        out = F.when(of == name, F.lit(colour)).otherwise(out)
-    return out
+def _colour(of: Column, table: dict[str, str]) -> Column:
+    pairs = F.create_map(*(F.lit(x) for pair in table.items() for x in pair))
+    return F.coalesce(F.try_element_at(pairs, of), F.lit("#aaa"))
 
 
 def drawn_nodes(node_rows: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,8 +12,10 @@ from ..functions.text import NAME_STOPWORDS, normalized_name, sentences, tokens,
 from ..operators import claims as C
 from ..operators import extraction as X
 from ..operators import flatten, governance, graph, resolution, retrieval
+from ..operators.components import shared_folder
 from ..schemas import RELATIONS
 from ..sources import tables as T
+from ..sources.files import fingerprint
 from . import api
 
 ENTITY = "supplier#000000001"
@@ -43,6 +47,19 @@ def _documents(spark, folder) -> DataFrame:
     )
 
 
+_INDEXES: dict[tuple[str, str, str], retrieval.StoredIndex] = {}
+
+
+def _index(spark, folder) -> retrieval.StoredIndex:
+    """The index of the documents, stored in the shared folder by the first query that asks; a changed table gets a new one."""
+    key = (spark.sparkContext.applicationId, folder, fingerprint(spark, f"{folder}/documents.parquet"))
+    if key not in _INDEXES:
+        shared = shared_folder(spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir(), spark.sparkContext.master)
+        place = f"{shared.rstrip('/')}/index-{hashlib.sha256('|'.join(key).encode()).hexdigest()[:16]}"
+        _INDEXES[key] = retrieval.StoredIndex(spark, place).store(_documents(spark, folder))
+    return _INDEXES[key]
+
+
 _EDGE_COLUMNS = ("edge_id", "subject", "relation", "object", "confidence", "support_count", "first_seen", "last_seen", "superseded")
 
 
@@ -88,7 +105,12 @@ def graph_edges(spark, folder):
 
 
 def graph_normalized_nodes(spark, folder):
-    n, _ = graph.normalize(_nodes(spark, folder).where("type = 'Component'"), _edges(spark, folder))
+    """Every node twice, as it is and with other marks and another type, so that all ids meet; edges add what is missing."""
+    nodes = _nodes(spark, folder).where("type <> 'Library'").withColumn("pos", F.lit(0)).unionByName(
+        _nodes(spark, folder).where("type <> 'Library'").select(F.upper(F.concat(F.lit("_"), "id")).alias("id"), "label", F.lit("Concept").alias("type"), "aliases", "frequency", "first_seen", "last_seen", F.lit(1).alias("pos"))
+    )
+    nodes = nodes.unionByName(_nodes(spark, folder).where("type = 'Library'").withColumn("pos", F.lit(0)))
+    n, _ = graph.normalize(nodes, _edges(spark, folder))
     return n.select("id", "type", "frequency", F.array_join("aliases", ",").alias("aliases"))
 
 
@@ -123,9 +145,11 @@ def api_neighbors(spark, folder):
 
 
 def api_evidence(spark, folder):
-    wanted = _edges(spark, folder).where(graph.active()).orderBy("edge_id").limit(1).first()["edge_id"]
-    mine = T.claims(spark, folder).where(C.claim_id(F.col("subject"), F.col("relation"), F.col("object")) == wanted)
-    pack = api.evidence(graph.edges(C.deduplicated(mine)), wanted)
+    """Evidence of the first active claim; what is superseded is judged among all claims, evidence gathered for the one."""
+    edges = graph.edges(_claims(spark, folder))
+    wanted = edges.where(graph.active()).orderBy("edge_id").limit(1).first()["edge_id"]
+    mine = C.evidence(T.claims(spark, folder).where(C.claim_id(F.col("subject"), F.col("relation"), F.col("object")) == wanted))
+    pack = api.evidence(edges.join(F.broadcast(mine), ["subject", "relation", "object"], "left"), wanted)
     return pack.select("edge_id", "statement", F.explode("evidence").alias("e")).select("edge_id", "statement", "e.excerpt", "e.artifact_id", "e.timestamp")
 
 
@@ -176,8 +200,7 @@ def chunk_stats(spark, folder):
 
 
 def tfidf_vocabulary(spark, folder):
-    _, v = retrieval.fit(_documents(spark, folder))
-    return v.select("term", "df", F.round("idf", 4).alias("idf"))
+    return _index(spark, folder).vocabulary().select("term", "df", F.round("idf", 4).alias("idf"))
 
 
 def tfidf_terms(spark, folder):
@@ -187,17 +210,18 @@ def tfidf_terms(spark, folder):
 
 
 def search(spark, folder):
-    d = _documents(spark, folder)
-    return api.search(QUESTION, d, *retrieval.fit(d), 8).select("chunk_id", "score", "artifact_id")
+    index = _index(spark, folder)
+    return api.search(QUESTION, _documents(spark, folder), index.postings(QUESTION), index.vocabulary(), 8).select("chunk_id", "score", "artifact_id")
 
 
 def context_pack(spark, folder):
     d = _documents(spark, folder)
-    words = d.select(F.explode(tokens(F.col("text"))).alias("id")).groupBy("id").agg(F.count("*").alias("frequency")).where("frequency >= 20")
+    words = d.select(F.explode(tokens(F.col("text"))).alias("id")).groupBy("id").agg(F.count("*").alias("frequency"))
     none = F.lit(None).cast("string")
     nodes = words.select("id", F.col("id").alias("label"), F.lit("unknown").alias("type"), F.array().cast("array<string>").alias("aliases"), "frequency", none.alias("first_seen"), none.alias("last_seen"))
     proven = C.deduplicated(T.claims(spark, folder)).withColumn("confidence", F.col("confidence").cast("double"))
-    pack = api.context(QUESTION + " " + ENTITY, d, *retrieval.fit(d), nodes.unionByName(_nodes(spark, folder)), graph.edges(proven))
+    index, question = _index(spark, folder), QUESTION + " " + ENTITY
+    pack = api.context(question, d, index.postings(question), index.vocabulary(), nodes.unionByName(_nodes(spark, folder)), graph.edges(proven))
     return pack.select("question", "total_evidence", "total_claims", F.array_join("entities_found", ",").alias("entities_found"), F.to_json("graph_claims").alias("claims"))
 
 
@@ -216,7 +240,8 @@ def extraction_totals(spark, folder):
 
 def _mentions(spark, folder):
     p = T.read(spark, folder, "part").select(F.col("p_name").alias("name"), F.lit("Component").alias("type"), F.lpad(F.col("p_partkey").cast("string"), 9, "0").alias("pos"))
-    e = T.read(spark, folder, "events").select(F.col("event_type").alias("name"), F.lit("Concept").alias("type"), F.lpad(F.col("event_id").cast("string"), 9, "0").alias("pos"))
+    kind = F.when(F.col("event_id") % 2 == 0, "Concept").otherwise("Feature")
+    e = T.read(spark, folder, "events").select(F.col("event_type").alias("name"), kind.alias("type"), F.lpad(F.col("event_id").cast("string"), 9, "0").alias("pos"))
     return p.union(e)
 
 
@@ -255,8 +280,8 @@ def decayed(spark, folder):
 
 
 def permitted(spark, folder):
-    """Claims of which a user that may read every third order has evidence."""
-    orders = T.read(spark, folder, "orders").where("o_orderkey % 3 = 0").select(F.lit("u").alias("user"), F.format_string("order_%d", "o_orderkey").alias("artifact_id"))
+    """Claims of which a user that may read finished orders has evidence."""
+    orders = T.read(spark, folder, "orders").where("o_orderstatus = 'F'").select(F.lit("u").alias("user"), F.format_string("order_%d", "o_orderkey").alias("artifact_id"))
     c = C.merged(T.claims(spark, folder)).join(C.evidence(T.claims(spark, folder)), ["subject", "relation", "object"])
     return governance.permitted(c, orders, "u").select("claim_id", F.size("evidence").alias("n_evidence"))
 
@@ -384,8 +409,9 @@ SELECT claim_id, first_artifact, support_count FROM claims JOIN f USING (claim_i
     "claims_canonical": f"WITH {_RAW}, mapped AS (SELECT s, relation, 'Maker ' || substr(o, 7, 1) AS o, c, ts FROM raw), {_MERGED.format('mapped')} SELECT * FROM merged",
     "graph_nodes": f"WITH {_CLAIMS}{_NODES} SELECT * FROM nodes",
     "graph_edges": f"WITH {_CLAIMS} SELECT {_E} FROM edges",
-    "graph_normalized_nodes": f"""WITH {_CLAIMS}{_NODES}, k AS (SELECT replace(replace(id, '_', ''), '-', '') AS id, type, frequency FROM nodes)
-SELECT id, CASE WHEN type = 'Component' THEN type ELSE 'unknown' END AS type, CASE WHEN type = 'Component' THEN frequency ELSE 1 END AS frequency, '' AS aliases FROM k""",
+    "graph_normalized_nodes": f"""WITH {_CLAIMS}{_NODES}
+SELECT id, CASE type WHEN 'Library' THEN type ELSE 'Concept' END AS type, CASE type WHEN 'Library' THEN frequency ELSE 2 * frequency END AS frequency,
+  CASE type WHEN 'Library' THEN '' ELSE '_' || upper(id) END AS aliases FROM nodes""",
     "graph_normalized_edges": f"WITH {_CLAIMS} SELECT * REPLACE (replace(replace(subject, '_', ''), '-', '') AS subject, replace(replace(object, '_', ''), '-', '') AS object) FROM (SELECT {_E} FROM edges)",
     "api_root": f"WITH {_CLAIMS}{_NODES} SELECT (SELECT count(*) FROM nodes) AS nodes, (SELECT count(*) FROM edges) AS edges",
     "api_stats": f"""WITH {_CLAIMS}{_NODES} SELECT 'graph' AS kind, 'nodes' AS name, count(*) AS n FROM nodes
@@ -438,8 +464,11 @@ SELECT printf('doc_%08d', doc_id) AS chunk_id, round(score, 4) AS score, source
     "normalized_names": rf"""WITH a AS (SELECT p_partkey, regexp_replace(strip_accents(' The ' || p_name || '/of-' || p_brand), '[^\x00-\x7F]', '', 'g') AS t FROM part),
 b AS (SELECT p_partkey, regexp_replace(trim(lower(t)), '^[`''"]+|[`''"]+$', '', 'g') AS t FROM a)
 SELECT p_partkey, array_to_string(list_filter(string_split(trim(regexp_replace(t, '[\s\-_/\\.]+', ' ', 'g')), ' '), lambda w: w <> '' AND NOT list_contains({list(NAME_STOPWORDS)!r}, w)), ' ') AS key FROM b""",
-    "name_counts": """WITH m AS (SELECT p_name AS name, 'Component' AS type FROM part UNION ALL SELECT event_type, 'Concept' FROM events)
-SELECT name, count(*) AS frequency, any_value(type) AS type FROM m GROUP BY name""",
+    "name_counts": """WITH m AS (SELECT p_name AS name, 'Component' AS type, p_partkey AS pos FROM part
+  UNION ALL SELECT event_type, CASE WHEN event_id % 2 = 0 THEN 'Concept' ELSE 'Feature' END, event_id FROM events),
+t AS (SELECT name, type, count(*) AS n, min(pos) AS pos FROM m GROUP BY ALL)
+SELECT name, sum(n)::BIGINT AS frequency, arg_min(type, (-n, pos)) AS type FROM t GROUP BY name""",
+
     "exact_repeats": r"""WITH h AS (SELECT 'issue_' || doc_id || '_body' AS artifact_id, lower(regexp_replace(regexp_replace(coalesce(text, ''), '^\s+|\s+$', '', 'g'), '\s+', ' ', 'g')) AS h FROM documents)
 SELECT artifact_id, min(artifact_id) OVER (PARTITION BY h) AS canonical_id FROM h""",
     "durability": f"WITH {_CLAIMS} SELECT CASE WHEN support_count >= 3 THEN 'durable' ELSE 'ephemeral' END AS memory, count(*) AS n FROM claims GROUP BY 1",
