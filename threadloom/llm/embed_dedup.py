@@ -28,6 +28,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -88,7 +89,7 @@ def _hashed(batches):
     """(vec_id, embedding) → (vec_id, w, k1, k2, v); rows that can link to nothing have nulls after the id."""
     for batch in batches:
         ids, column = batch.column(0), batch.column(1)
-        sizes = np.asarray(pa.compute.list_value_length(column).fill_null(0))
+        sizes = np.asarray(pc.list_value_length(column).fill_null(0))
         ok, k = (sizes > 0) & np.asarray(ids.is_valid()), np.zeros((2, batch.num_rows), dtype=np.uint64)
         rows = np.flatnonzero(ok)
         held = column.take(pa.array(rows))
@@ -103,7 +104,7 @@ def _hashed(batches):
                 k[n, rows[at]] = wh.mix((wh.mix(x.view(np.uint64)) * odd).sum(axis=1, dtype=np.uint64))
         none = ~ok
         yield pa.RecordBatch.from_arrays(
-            [ids, pa.array(sizes.astype(np.int32), mask=none), *(pa.array(x.view(np.int64), mask=none) for x in k), pa.compute.if_else(pa.array(ok), column, pa.scalar(None, column.type))],
+            [ids, pa.array(sizes.astype(np.int32), mask=none), *(pa.array(x.view(np.int64), mask=none) for x in k), pc.if_else(pa.array(ok), column, pa.scalar(None, column.type))],
             ["vec_id", "w", "k1", "k2", "v"],
         )
 

@@ -16,6 +16,7 @@ import functools
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -79,7 +80,7 @@ def _count(path: str):
     def run(batches):
         for batch in batches:
             texts = batch.column(1).fill_null("")
-            sizes = pa.compute.binary_length(texts)
+            sizes = pc.binary_length(texts)
             counts = lengths(texts.cast(pa.binary()).to_pylist(), path)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes).cast(pa.int64()), pa.array(counts)],
