@@ -71,7 +71,7 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: Boosted trees and tokenisers have no SQL; tests hold each stage's rows against a brute-force version.
+#: Boosted trees and tokenisers have no SQL; tests hold the operators against brute force and the stages by planted documents.
 ORACLE_SQL = None
 
 
