@@ -104,7 +104,7 @@ def test_components_are_the_closure(spark):
 def test_blocking_loses_no_pair(spark):
     rng = random.Random(9)
     words = ["route", "router", "routing", "pydantic", "pydantc", "core", "app", "fast", "api", "docs", "pr"]
-    keys = sorted({" ".join(rng.sample(words, rng.randint(1, 4))) for _ in range(80)})
+    keys = sorted({" ".join(rng.sample(words, rng.randint(1, 4))) for _ in range(80)} | {"z z z z z z z z z z configuraton", "z configuration", "z", "z z"})
     df = spark.createDataFrame([(k,) for k in keys], "key string")
     got = {(r.a, r.b) for r in resolution.similar_keys(df).collect()}
     assert got == {(a, b) for a, b in itertools.combinations(keys, 2) if token_set_ratio(a, b) >= 0.82}

@@ -28,12 +28,13 @@ def candidates(keys: DataFrame, threshold: float) -> DataFrame:
     padded two-letter grams, rarest first, a prefix must meet the other's prefix. Only prefixes are joined.
     """
     t = threshold
+    bare = lambda key: F.length(F.array_join(F.array_distinct(F.split(key, " ")), " "))  # noqa: E731  repeated words count once
     keys = keys.where("key <> ''").distinct()
     words = keys.select("key", F.explode(F.array_distinct(F.split("key", " "))).alias("w"))
     rare = words.groupBy("w").agg(F.count("*").alias("df"))
     ordered = Window.partitionBy("key").orderBy("df", "w").rowsBetween(Window.unboundedPreceding, -1)
     ranked = words.join(rare, "w").withColumn("before", F.coalesce(F.sum(F.length("w") + 1).over(ordered), F.lit(0)))
-    outside = ((1 - t) * (2 * F.length("key") + 1)) / (t + 2 * (1 - t)) + 1
+    outside = ((1 - t) * (2 * bare("key") + 1)) / (t + 2 * (1 - t)) + 1
     firsts = ranked.where(F.col("before") <= outside).select(F.col("key").alias("x"), "w")
     by_word = firsts.join(words.withColumnRenamed("key", "y"), "w").where("x <> y")
 
@@ -48,7 +49,7 @@ def candidates(keys: DataFrame, threshold: float) -> DataFrame:
     lost = 2 * (1 - t) * (1 + 1 / t) * F.col("total") + 2
     firsts = ranked.where(F.col("before") <= lost).select("key", "g")
     x, y = firsts.withColumnRenamed("key", "x"), firsts.withColumnRenamed("key", "y")
-    near = F.abs(F.length("x") - F.length("y")) <= (1 - t) * (F.length("x") + F.length("y"))
+    near = F.abs(bare("x") - bare("y")) <= (1 - t) * (bare("x") + bare("y"))
     by_gram = x.join(y, "g").where("x < y").where(near)
     pairs = by_word.select("x", "y").union(by_gram.select("x", "y"))
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()

@@ -17,6 +17,7 @@ from ..schemas import RELATIONS
 from ..sources import tables as T
 from ..sources.files import fingerprint
 from . import api
+from .fuzzy_sql import entity_sql, evidence_sql
 
 ENTITY = "supplier#000000001"
 QUESTION = "the nation and the other stations of the region"
@@ -86,7 +87,7 @@ def claims_with_evidence(spark, folder):
 
 
 def evidence_counts(spark, folder):
-    return C.evidence(T.claims(spark, folder)).select("subject", "relation", "object", F.size("evidence").alias("n_evidence"))
+    return C.evidence(T.claims(spark, folder)).select("subject", "relation", "object", F.size("evidence").cast("bigint").alias("n_evidence"))
 
 
 def claims_canonical(spark, folder):
@@ -283,7 +284,14 @@ def permitted(spark, folder):
     """Claims of which a user that may read finished orders has evidence."""
     orders = T.read(spark, folder, "orders").where("o_orderstatus = 'F'").select(F.lit("u").alias("user"), F.format_string("order_%d", "o_orderkey").alias("artifact_id"))
     c = C.merged(T.claims(spark, folder)).join(C.evidence(T.claims(spark, folder)), ["subject", "relation", "object"])
-    return governance.permitted(c, orders, "u").select("claim_id", F.size("evidence").alias("n_evidence"))
+    return governance.permitted(c, orders, "u").select("claim_id", F.size("evidence").cast("bigint").alias("n_evidence"))
+
+
+def without_orphans(spark, folder):
+    """Claims with the evidence that stays when the orders still in process are no longer kept."""
+    orders = T.read(spark, folder, "orders").where("o_orderstatus <> 'P'").select(F.format_string("order_%d", "o_orderkey").alias("artifact_id"))
+    c = C.merged(T.claims(spark, folder)).join(C.evidence(T.claims(spark, folder)), ["subject", "relation", "object"])
+    return governance.without_orphans(c, orders).select("claim_id", F.size("evidence").cast("bigint").alias("n_evidence"))
 
 
 def ontology_check(spark, folder):
@@ -427,7 +435,6 @@ SELECT id, type, (SELECT coalesce(string_agg(DISTINCT relation, ',' ORDER BY rel
 FROM nodes WHERE id = '{ENTITY}'""",
     "api_memory": f"WITH {_CLAIMS}{_NODES} SELECT {', '.join('e.' + c for c in _EDGE_COLUMNS)}, type AS object_type FROM edges e JOIN nodes n ON n.id = e.object WHERE subject = '{ENTITY}' AND NOT superseded",
     "api_neighbors": f"WITH {_CLAIMS} SELECT {_E} FROM edges WHERE subject = 'brand#11' OR object = 'brand#11'",
-    "api_evidence": None,
     "conflicts_top": f"""WITH {_CLAIMS}, r AS (SELECT a.claim_id AS claim_a, b.claim_id AS claim_b, a.subject, a.object, a.relation AS relation_a, b.relation AS relation_b,
   'same_subject_object_different_relation' AS note FROM claims a JOIN claims b ON a.subject = b.subject AND a.object = b.object AND a.relation < b.relation)
 SELECT *, count(*) OVER () AS total FROM r ORDER BY subject, object, relation_a, relation_b LIMIT 50""",
@@ -475,7 +482,7 @@ SELECT artifact_id, min(artifact_id) OVER (PARTITION BY h) AS canonical_id FROM
     "decayed": f"""WITH {_CLAIMS} SELECT claim_id, round(confidence * exp(-ln(2) / 365 * greatest(0, date_diff('day', last_seen::DATE, DATE '1999-01-01'))), 4) AS current_confidence FROM claims""",
     "ontology_check": f"WITH {_CLAIMS} SELECT relation, CASE relation WHEN 'fixes' THEN false ELSE true END AS fits, count(*) AS n FROM claims GROUP BY ALL",
 }
-ORACLE_SQL = {k: v for k, v in ORACLE_SQL.items() if v}
+ORACLE_SQL |= evidence_sql(_CLAIMS) | entity_sql(ORACLE_SQL["name_counts"])
 
 QUERIES = {
     f.__name__: f
@@ -485,6 +492,6 @@ QUERIES = {
         graph_search_bfs, graph_search_lines, graph_hints, viewer_nodes, viewer_edges, artifacts, artifact_stats, sentence_counts, chunks,
         chunk_stats, tfidf_vocabulary, tfidf_terms, search, context_pack, extractions_validated, validation_report, extraction_totals,
         name_counts, normalized_names, entity_alias_index, entity_canonical_map, entity_merge_log, exact_repeats, durability, decayed,
-        permitted, ontology_check,
+        permitted, without_orphans, ontology_check,
     )
 }
