@@ -386,3 +386,79 @@ def test_pipeline_stages(spark, tmp_path):
     assert len(ids & {m[0] for m in marks if m[2]}) <= 2 and len(ids & {m[0] for m in marks if not m[2]}) >= 198
 
 
+
+
+def in_words(text):
+    return re.findall(r"[^ \t-\r]+", text or "")
+
+
+def test_stages_against_brute_force(spark, tmp_path):
+    """Every stage's rows from its own input, in plain loops; toxicity by the operator's scores, themselves held above."""
+    shared = [prose(60), prose(55)]
+    rows = [(k, prose(rng.randint(3, 40)) + " " + (shared[k % 2] if k % 5 == 0 else "") + " " + prose(rng.randint(3, 40)), "en", "s", 5, k) for k in range(40)]
+    rows += [(40, BASE, "en", "s", 1, 0), (41, NEAR, "en", "s", 1, 0), (42, BASE.upper(), None, "s", 1, 0), (43, shared[0], "en", None, 1, 0)]
+    rows += [(44, None, "en", "s", None, 0), (45, "", "en", "s", 0, 0), (45, BASE, "en", "s", 0, 0), (None, BASE, "en", "s", 0, 0), (46, rows[3][1], "en", "s", 0, 0)]
+    leak = "the mill at " + prose(20)
+    rows += [(50, prose(10) + " " + leak + " " + prose(10), "en", "s", 1, 0), (51, prose(10) + " " + leak[: len(leak) // 4], "en", "s", 1, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, kept long")
+    folder = str(tmp_path)
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    plain = lambda df: sorted(map(tuple, df.collect()), key=str)
+
+    sets = {}
+    for i, t, *_ in rows:
+        w = folded(t)
+        sets.setdefault(i, []).append({tuple(w[k : k + 4]) for k in range(max(1, len(w) - 3))} if w else set())
+    root = {i: i for i in sets if i is not None}
+    for _ in root:
+        for a, b in itertools.combinations(root, 2):
+            if any(x and y and 100 * len(x & y) >= 80 * len(x | y) for x in sets[a] for y in sets[b]):
+                root[a] = root[b] = min(root[a], root[b])
+    single = [r for r in rows if r[0] is None or root[r[0]] == r[0]]
+    assert 0 < len(single) < len(rows)
+    assert plain(corpus_pipeline.near_dedup(spark, docs, folder)) == sorted(single, key=str)
+
+    first, cut = {}, []
+    for i, t, *_ in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
+        w = in_words(t)
+        for k in range(len(w) - 49):
+            first.setdefault(tuple(w[k : k + 50]), i)
+    for r in rows:
+        w = in_words(r[1])
+        gone = [False] * len(w)
+        for k in range(len(w) - 49):
+            if r[0] is not None and first[tuple(w[k : k + 50])] < r[0]:
+                gone[k : k + 50] = [True] * 50
+        left = " ".join(x for x, g in zip(w, gone) if not g)
+        if not any(gone):
+            cut.append(r)
+        elif left:
+            cut.append((r[0], left, *r[2:4], len(left), r[5]))
+    assert len(cut) < len(rows) and any(r not in rows for r in cut)
+    assert plain(corpus_pipeline.substring_dedup(spark, docs, folder)) == sorted(cut, key=str)
+
+    # words without numbers or capitals: a leak is a text with at least half of the item's windows of words along one shift
+    item, clean = in_words(leak), []
+    windows = [item[k : k + 8] for k in range(len(item) - 7)]
+    for r in rows:
+        w = [x.lower() for x in in_words(r[1])]
+        shifts = [p - k for p in range(len(w) - 7) for k, x in enumerate(windows) if w[p : p + 8] == x]
+        if r[0] is None or 2 * max((shifts.count(s) for s in shifts), default=0) < len(windows):
+            clean.append(r)
+    assert {r[0] for r in rows} - {r[0] for r in clean} == {50}
+    assert plain(corpus_pipeline.decontamination(spark, docs, folder)) == sorted(clean, key=str)
+
+    import public_tokenizers
+
+    encode = tokens.byte_encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    packed = corpus_pipeline.packing(spark, docs, folder).collect()
+    lengths = {}
+    for p in packed:
+        lengths.setdefault(p.doc_id, []).append(p.length)
+    want = {}
+    for i, t, *_ in rows:
+        want.setdefault(i, []).append(len(encode(t or "")) + 1)
+    assert {i: sum(x) for i, x in lengths.items()} == {i: sum(x) for i, x in want.items()}
+    empty = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES[1:]:
+        assert stage(spark, empty, folder).count() == 0
