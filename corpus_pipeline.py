@@ -71,7 +71,7 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: Boosted trees and tokenisers have no SQL; tests hold the operators against brute force and the stages by planted documents.
+#: Boosted trees and tokenisers have no SQL; tests hold the operators and each stage after toxicity against brute force.
 ORACLE_SQL = None
 
 
