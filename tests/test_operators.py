@@ -110,6 +110,21 @@ def test_blocking_loses_no_pair(spark):
     assert got == {(a, b) for a, b in itertools.combinations(keys, 2) if token_set_ratio(a, b) >= 0.82}
 
 
+def test_blocking_is_lossless_and_narrow_on_edited_names(spark):
+    rng = random.Random(4)
+    letters = "etaoinshrdlucmfw"
+    made = {" ".join("".join(rng.choices(letters, k=rng.randint(3, 9))) for _ in range(rng.randint(1, 3))) for _ in range(300)}
+    for key in list(made):
+        for _ in range(rng.randint(0, 2)):
+            k = rng.randrange(len(key))
+            made.add((key[:k] + rng.choice(["", rng.choice(letters), key[k] + rng.choice(letters)]) + key[k + 1 :]).strip())
+    keys = sorted(made)
+    df = spark.createDataFrame([(k,) for k in keys], "key string")
+    met = {(r.a, r.b) for r in resolution.candidates(df, 0.82).collect()}
+    pairs = list(itertools.combinations(keys, 2))
+    assert {p for p in pairs if token_set_ratio(*p) >= 0.82} <= met and len(met) < 0.02 * len(pairs)
+
+
 def test_resolution(spark):
     names = ["FastAPI", "FastAPI", "fastapi", "routing.py", "routing", "Pydantic", "Pydantc", "the", "Other"]
     df = spark.createDataFrame([(n, "Library" if k % 2 else "Component", f"{k:03}") for k, n in enumerate(names)], "name string, type string, pos string")

@@ -62,13 +62,15 @@ def judged(claims: DataFrame) -> DataFrame:
 def evidence(claims: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """(subject, relation, object, evidence): excerpts in order of time, near repeats of a kept one left out.
 
-    Exact repeats go first by a grouped minimum, which keeps the earliest and combines before the shuffle.
+    Similarity sees an excerpt's set of words only, so of equal sets all but the earliest would be left out: they go first
+    by a grouped minimum, which combines before the shuffle. A claim's row holds its distinct sets, not its mentions.
     """
     item = F.struct(F.coalesce("timestamp", F.lit("")).alias("t"), "pos", *_EVIDENCE)
     keyed = claims.select(F.lower("subject").alias("subject"), "relation", F.lower("object").alias("object"), item.alias("item"))
     key = ["subject", "relation", "object"]
-    blank = F.when(F.trim("item.excerpt") == "", F.col("item.pos")).otherwise("")  # blank excerpts resemble nothing
-    once = keyed.groupBy(*key, F.col("item.excerpt").alias("x"), blank.alias("y")).agg(F.min("item").alias("item"))
+    words = F.filter(F.split(F.coalesce("item.excerpt", F.lit("")), r"(?U)[\s\x1c-\x1f]+"), lambda w: w != "")
+    blank = F.when(F.size(words) == 0, F.col("item.pos")).otherwise("")  # blank excerpts resemble nothing
+    once = keyed.groupBy(*key, F.array_sort(F.array_distinct(words)).alias("x"), blank.alias("y")).agg(F.min("item").alias("item"))
     lists = once.groupBy(*key).agg(F.array_sort(F.collect_list("item")).alias("items"))
     keep = distinct_excerpts(settings.claim_similarity)(F.transform("items", lambda i: i["excerpt"]))
     lists = lists.withColumn("keep", keep)

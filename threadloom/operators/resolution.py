@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Settings
@@ -20,21 +20,40 @@ def name_counts(mentions: DataFrame) -> DataFrame:
     return firsts.select("name", "frequency", F.col("top.type").alias("type"))
 
 
+def _bare(key) -> Column:
+    """The words of a key, each once, as similarity counts them."""
+    return F.array_join(F.array_distinct(F.split(key, " ")), " ")
+
+
+def _can_reach(a: str, b: str, t: float) -> Column:
+    """Whether the similarity can reach t: exact but for the common subsequence, which common letters bound from above."""
+    x, y = F.array_distinct(F.split(a, " ")), F.array_distinct(F.split(b, " "))
+    sx, sy = F.array_join(F.array_except(x, y), " "), F.array_join(F.array_except(y, x), " ")
+    base = F.length(F.array_join(F.array_intersect(x, y), " "))
+    nx, ny, total = F.length(sx), F.length(sy), F.length(_bare(a)) + F.length(_bare(b))
+    times = lambda s, c: F.length(s) - F.length(F.replace(s, c, F.lit("")))
+    letters = F.filter(F.array_distinct(F.split(sx, "")), lambda c: c != "")
+    common = F.aggregate(letters, F.lit(0), lambda n, c: n + F.least(times(sx, c), times(sy, c)))
+    apart = nx + ny - 2 * common
+    inside = (base > 0) & (F.least(nx, ny) + 1 <= (1 - t) * (2 * base + F.least(nx, ny) + 1) + 1e-9)
+    return ((base > 0) & ((nx == 0) | (ny == 0))) | inside | (apart <= (1 - t) * total + 1e-9)
+
+
 def candidates(keys: DataFrame, threshold: float) -> DataFrame:
     """keys (key) → pairs (a, b), a < b, that hold every pair whose similarity can reach the threshold.
 
-    Three ways lead there. Words: one key's words outside the other must be short, or none, so of its words, rarest
-    first, one among those that outgrow that length is shared. Letters: insertions and deletions are few, so of the
-    padded two-letter grams, rarest first, a prefix must meet the other's prefix. Only prefixes are joined.
+    Two ways lead there. Words: one key's words outside the other must be short, or none, so of its words, rarest first,
+    one among those that outgrow that length is shared. Letters: insertions and deletions are few, and each takes one or
+    two of the padded two-letter grams, so the rarest gram that two keys share has at most so many grams before it in
+    either. Only such prefixes are joined; what meets must then share enough letters. Thresholds lie above two thirds.
     """
     t = threshold
-    bare = lambda key: F.length(F.array_join(F.array_distinct(F.split(key, " ")), " "))  # noqa: E731  repeated words count once
     keys = keys.where("key <> ''").distinct()
     words = keys.select("key", F.explode(F.array_distinct(F.split("key", " "))).alias("w"))
     rare = words.groupBy("w").agg(F.count("*").alias("df"))
     ordered = Window.partitionBy("key").orderBy("df", "w").rowsBetween(Window.unboundedPreceding, -1)
     ranked = words.join(rare, "w").withColumn("before", F.coalesce(F.sum(F.length("w") + 1).over(ordered), F.lit(0)))
-    outside = ((1 - t) * (2 * bare("key") + 1)) / (t + 2 * (1 - t)) + 1
+    outside = ((1 - t) * (2 * F.length(_bare("key")) + 1)) / (t + 2 * (1 - t)) + 1
     firsts = ranked.where(F.col("before") <= outside).select(F.col("key").alias("x"), "w")
     by_word = firsts.join(words.withColumnRenamed("key", "y"), "w").where("x <> y")
 
@@ -42,17 +61,18 @@ def candidates(keys: DataFrame, threshold: float) -> DataFrame:
     grams = F.flatten(F.transform(padded, lambda w: F.transform(F.sequence(F.lit(1), F.length(w) - 1), lambda i: F.substr(w, i, F.lit(2)))))
     gram = keys.select("key", F.explode(grams).alias("g")).groupBy("key", "g").agg(F.count("*").alias("m"))
     gram_df = gram.groupBy("g").agg(F.count("*").alias("df"))
-    total = F.sum("m").over(Window.partitionBy("key"))
     before = F.coalesce(F.sum("m").over(Window.partitionBy("key").orderBy("df", "g").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = gram.join(gram_df, "g").withColumn("total", total).withColumn("before", before)
-    # with d edits at most 2d grams differ, and d <= (1 - t) * (2 + 2 * (1 - t) / t) * length bounds both sides
-    lost = 2 * (1 - t) * (1 + 1 / t) * F.col("total") + 2
-    firsts = ranked.where(F.col("before") <= lost).select("key", "g")
-    x, y = firsts.withColumnRenamed("key", "x"), firsts.withColumnRenamed("key", "y")
-    near = F.abs(bare("x") - bare("y")) <= (1 - t) * (bare("x") + bare("y"))
-    by_gram = x.join(y, "g").where("x < y").where(near)
-    pairs = by_word.select("x", "y").union(by_gram.select("x", "y"))
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    ranked = gram.join(gram_df, "g").select("key", "g", before.alias("n"), F.length(_bare("key")).alias("l"))
+    # of d <= (1 - t) * (lx + ly) edits (d + lx - ly) / 2 delete letters of x, each with two of its grams; the others part one
+    lost = lambda l, other: (3 * (1 - t) * (l + other) + l - other) / 2 + 1e-9
+    sides = (ranked.select(*(F.col(c).alias(f"{c}{k}" if c != "g" else "g") for c in ("key", "g", "n", "l"))) for k in "xy")
+    x, y = next(sides).where(F.col("nx") <= lost(F.col("lx"), F.col("lx"))), next(sides)  # at its most where lengths are equal
+    y = y.where(F.col("ny") <= lost(F.col("ly"), t / (2 - t) * F.col("ly")))  # and here where x is as short as it can be
+    ahead = (F.struct("lx", "keyx") < F.struct("ly", "keyy")) & (t * F.col("ly") <= (2 - t) * F.col("lx") + 1e-9)
+    met = (F.col("nx") <= lost(F.col("lx"), F.col("ly"))) & (F.col("ny") <= lost(F.col("ly"), F.col("lx")))
+    by_gram = x.join(y, "g").where(ahead & met).select(F.col("keyx").alias("x"), F.col("keyy").alias("y"))
+    pairs = by_word.select("x", "y").union(by_gram)
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().where(_can_reach("a", "b", t))
 
 
 def similar_keys(keys: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
