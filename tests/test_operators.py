@@ -165,6 +165,27 @@ def test_validation(spark):
     assert g.edges.count() == 2
 
 
+def test_the_first_breach_of_the_schema_is_told(spark):
+    claim = '{"subject": "A", "relation": "uses", "object": "%s", "evidence_excerpt": "%s", "confidence": 1, "subject_type": "%s"}'
+    said = [claim % ("B", "A uses B", "Robot"), claim % ("B" * 201, "A uses it", "Library"), claim % ("B", "A uses B", "Library")]
+    rows = spark.createDataFrame(
+        [(f"c{k}", "a", k, None, None, None, 0, 0, f'{{"entities": [], "claims": [{c}]}}', None) for k, c in enumerate(said)],
+        "chunk_id string, artifact_id string, issue_number bigint, source_url string, author string, timestamp string, offset_start bigint, offset_end bigint, response string, error string",
+    )
+    got = extraction.validate(extraction.read_answers(rows)).orderBy("chunk_id").collect()
+    errors = [[i for i in r.validation_issues if i.startswith("schema_error:")] for r in got]
+    assert errors[0] == [("schema_error:'Robot' is not one of " + str(list(schemas.ENTITY_TYPES)))[:133]]
+    assert errors[1] == ["schema_error:'" + "B" * 119] and errors[2] == []
+
+
+def test_ontology_of_trackers(spark):
+    rows = [("assigned_to", "Issue", "Person"), ("decided_in", "Bug", "Thread"), ("uses", "Feature", "Library")]
+    typed = spark.createDataFrame(rows, "relation string, subject_type string, object_type string")
+    fits = lambda **k: {r.relation: r.fits for r in governance.ontology_check(typed, **k).collect()}
+    assert fits() == {"assigned_to": None, "decided_in": None, "uses": True}
+    assert fits(extra=True) == {"assigned_to": True, "decided_in": False, "uses": True}
+
+
 def test_model_retries(spark):
     chunk = spark.createDataFrame([("c", "a", 1, None, None, None, 0, 0, "hello", False), ("d", "a", 1, None, None, None, 0, 0, "bad", False), ("e", "a", 1, None, None, None, 0, 0, "bot", True)],
         "chunk_id string, artifact_id string, issue_number bigint, source_url string, author string, timestamp string, offset_start bigint, offset_end bigint, text string, is_bot boolean")

@@ -57,6 +57,12 @@ def test_files(spark, tmp_path):
     p = spark.createDataFrame([("t", "c", 0.5), ("u", "c", 0.5)], "term string, chunk_id string, weight double")
     files.write_postings(p, str(tmp_path / "p"), 4)
     assert files.read_postings(spark, str(tmp_path / "p")).count() == 2
+    rows = spark.createDataFrame([(k, None if k else "x") for k in range(50, -1, -1)], "id int, a string").repartition(3)
+    files.write_json_array(rows, str(tmp_path / "out.json"), "id", sort_keys=True)
+    got = json.loads((tmp_path / "out.json").read_text())
+    assert [r["id"] for r in got] == list(range(51)) and list(got[1]) == ["a", "id"] and got[1]["a"] is None
+    files.write_json_array(rows.where("false"), str(tmp_path / "out.json"))
+    assert json.loads((tmp_path / "out.json").read_text()) == []
     files.write_html("<p>", spark, str(tmp_path / "x.html"))
     assert (tmp_path / "x.html").read_text() == "<p>"
 
@@ -73,7 +79,11 @@ def test_stream_equals_batch(spark, tmp_path):
     got = {tuple(r) for r in finished(state.read()).collect()}
     assert got == {tuple(r) for r in finished(partial_state(spark.createDataFrame(rows, schema))).collect()}
     state.merge(spark.createDataFrame(rows[6:], schema), 2)  # the last batch once more
-    assert {tuple(r)[5] for r in finished(state.read()).collect()} <= {6, 1}
+    assert {tuple(r) for r in finished(state.read()).collect()} == got
+    state.merge(spark.createDataFrame(rows[:1], schema), 3)
+    state.merge(spark.createDataFrame(rows[:1], schema), 4)
+    assert sorted(r.n for r in state.read().collect()) == [1, 8]
+    assert sorted(len(c) for c in state._copies().values()) == [1, 2]  # the other bucket was not written again
 
 
 def test_artifacts_once(spark, tmp_path):

@@ -101,11 +101,34 @@ def _claim(c: Column, settings: Settings) -> Column:
     )
 
 
+def _quoted(text: Column) -> Column:
+    """As messages show a text: in single quotes, or in double ones if only these are free."""
+    plain = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    for raw, shown in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        plain = F.replace(plain, F.lit(raw), F.lit(shown))
+    single, double = F.contains(text, F.lit("'")), F.contains(text, F.lit('"'))
+    escaped = F.concat(F.lit("'"), F.replace(plain, F.lit("'"), F.lit("\\'")), F.lit("'"))
+    return F.when(single & ~double, F.concat(F.lit('"'), plain, F.lit('"'))).otherwise(escaped)
+
+
+def _long(text: Column) -> Column:
+    return F.when(F.length(text) > 200, F.concat(_quoted(text), F.lit(" is too long")))
+
+
+def _short(text: Column) -> Column:
+    return F.when(F.length(text) < 5, F.concat(_quoted(text), F.lit(" is too short")))
+
+
+def _outside(kind: Column) -> Column:
+    return F.when(~kind.isin(*ENTITY_TYPES), F.concat(_quoted(kind), F.lit(f" is not one of {list(ENTITY_TYPES)}")))
+
+
 def validate(rows: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Rows with extraction (VARIANT) → the same with extraction repaired and typed, validation_issues and counts before.
 
     Everything is one projection of array functions: nothing is shuffled, no row is dropped. What is not an object
-    becomes an empty extraction with an issue. Missing endpoints of claims join the entities, subject first.
+    becomes an empty extraction with an issue. The first value that breaks the schema, entities before claims, is told as
+    a schema_error. Missing endpoints of claims join the entities, subject first.
     """
     v = F.col("extraction")
     is_object = F.startswith(F.coalesce(F.schema_of_variant(v), F.lit("")), F.lit("OBJECT"))
@@ -137,22 +160,23 @@ def validate(rows: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
         & ~F.exists(F.slice("ends", F.lit(1), k), lambda x: x["name"] == e["name"]),
     )
     rows = rows.withColumn("added", first)
-    bad = (
-        F.exists("claims", lambda c: (F.length(c["evidence_excerpt"]) < 5) | (F.length(c["subject"]) > 200) | (F.length(c["object"]) > 200))
-        | F.exists(F.concat("entities", "added"), lambda e: (F.length(e["name"]) > 200) | ~e["type"].isin(*ENTITY_TYPES))
-    )
+    breaches = F.concat(
+        F.flatten(F.transform(F.concat("entities", "added"), lambda e: F.array(_long(e["name"]), _outside(e["type"])))),
+        F.flatten(F.transform("claims", lambda c: F.array(_long(c["subject"]), _long(c["object"]), _short(c["evidence_excerpt"])))),
+    )
+    rows = rows.withColumn("breaches", F.filter(breaches, lambda b: b.isNotNull()))
     none = F.array().cast("array<string>")
     issues = F.concat(
         F.when(~is_object, F.array(F.lit("extraction_not_dict"))).otherwise(none),
         F.transform(F.filter(F.arrays_zip("named", "raw_entities"), lambda z: z["named"]["name"] == ""), lambda z: F.concat(F.lit("dropped_entity:"), F.to_json(z["raw_entities"]))),
         F.transform("added", lambda e: F.concat(F.lit("auto_added_entity:"), e["name"])),
         F.transform(F.filter("judged", lambda c: c["claim"]["relation"].isNull()), lambda c: c["issue"]),
-        F.when(bad, F.array(F.lit("schema_error:a value breaks the schema's limits"))).otherwise(none),
+        F.when(F.size("breaches") > 0, F.array(F.concat(F.lit("schema_error:"), F.substring(F.get("breaches", F.lit(0)), 1, 120)))).otherwise(none),
     )
     rows = rows.withColumn("validation_issues", issues)
     rows = rows.withColumn("entities_before", F.size("raw_entities")).withColumn("claims_before", F.size("raw_claims"))
     rows = rows.withColumn("extraction", F.struct(F.concat("entities", "added").alias("entities"), F.col("claims")))
-    return rows.drop("raw_entities", "raw_claims", "named", "judged", "ends", "added", "entities", "claims")
+    return rows.drop("raw_entities", "raw_claims", "named", "judged", "ends", "added", "breaches", "entities", "claims")
 
 
 def validation_rows(validated: DataFrame) -> DataFrame:

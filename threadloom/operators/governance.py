@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
-from ..schemas import ONTOLOGY
+from ..schemas import EXTRA_ONTOLOGY, ONTOLOGY
 
 
 def exact_repeats(artifacts: DataFrame) -> DataFrame:
@@ -51,11 +51,14 @@ def permitted(claims: DataFrame, access: DataFrame, user: str) -> DataFrame:
     return _with_evidence_in(claims, access.where(F.col("user") == user))
 
 
-def ontology_check(claims: DataFrame) -> DataFrame:
-    """Typed claims with fits: whether the relation may lead from and to these types; null for relations without a rule."""
+def ontology_check(claims: DataFrame, extra: bool = False) -> DataFrame:
+    """Typed claims with fits: whether the relation may lead from and to these types; null for relations without a rule.
+
+    With extra, the relations of mail, chat and trackers have rules too.
+    """
     spark = claims.sparkSession
     rules = spark.createDataFrame(
-        [(r, list(a), list(b)) for r, (a, b) in ONTOLOGY.items()], "relation string, from_types array<string>, to_types array<string>"
+        [(r, list(a), list(b)) for r, (a, b) in (ONTOLOGY | (EXTRA_ONTOLOGY if extra else {})).items()], "relation string, from_types array<string>, to_types array<string>"
     )
     fits = F.array_contains("from_types", F.col("subject_type")) & F.array_contains("to_types", F.col("object_type"))
     return claims.join(F.broadcast(rules), "relation", "left").withColumn("fits", fits).drop("from_types", "to_types")

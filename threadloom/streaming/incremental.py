@@ -39,24 +39,49 @@ def finished(state: DataFrame) -> DataFrame:
 
 
 class ClaimState:
-    """Versions of the state under a folder, one for each batch; a batch that runs again writes its version again."""
-
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
-
-    def _versions(self) -> list[int]:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.folder)
-        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
-        done = [n for n in names if n.startswith("v") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{n}/_SUCCESS"))]
-        return sorted(int(n[1:]) for n in done)
-
-    def read(self, before: int | None = None) -> DataFrame | None:
-        known = [v for v in self._versions() if before is None or v < before]
-        return self.spark.read.parquet(f"{self.folder}/v{known[-1]}") if known else None
+    """The state under a folder, in buckets by key: a batch writes new copies of the buckets that it touches only.
+
+    A batch that runs again finds the copies before it and writes its own again; copies older than those are removed, so
+    two of each bucket stay. Readers that hold a state across two batches may lose it under them and read again.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, buckets: int = 64):
+        self.spark, self.folder, self.buckets = spark, folder.rstrip("/"), buckets
+        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _names(self, folder: str) -> list[str]:
+        p = self._path(folder)
+        return [s.getPath().getName() for s in self._fs.listStatus(p)] if self._fs.exists(p) else []
+
+    def _copies(self) -> dict[int, list[int]]:
+        """For each bucket the batches that wrote it wholly, in order."""
+        copies: dict[int, list[int]] = {}
+        for v in sorted(int(n[1:]) for n in self._names(self.folder) if n.startswith("v")):
+            inside = self._names(f"{self.folder}/v{v}")
+            for n in inside if "_SUCCESS" in inside else ():
+                if n.startswith("bucket="):
+                    copies.setdefault(int(n[7:]), []).append(v)
+        return copies
+
+    def read(self, before: int | None = None, only: list[int] | None = None) -> DataFrame | None:
+        """The newest copy of each bucket, or of those asked for; as it was before a batch, if that is named."""
+        paths = []
+        for bucket, copies in self._copies().items():
+            known = [v for v in copies if before is None or v < before]
+            if known and (only is None or bucket in only):
+                paths.append(f"{self.folder}/v{known[-1]}/bucket={bucket}")
+        return self.spark.read.parquet(*paths) if paths else None
 
     def merge(self, batch: DataFrame, batch_id: int) -> None:
-        """For foreachBatch. The state moves through one shuffle by key, the batch is combined before it."""
-        new, old = partial_state(batch), self.read(batch_id)
-        (new if old is None else merge_state(old, new)).write.mode("overwrite").parquet(f"{self.folder}/v{batch_id}")
+        """For foreachBatch. The batch is combined before its shuffle; at most `buckets` numbers come to the driver."""
+        bucket = F.pmod(F.xxhash64(*_KEY), F.lit(self.buckets)).cast("int")
+        new = partial_state(batch).persist()
+        touched = [r["bucket"] for r in new.select(bucket.alias("bucket")).distinct().collect()]
+        old = self.read(batch_id, touched)
+        state = (new if old is None else merge_state(old, new)).withColumn("bucket", bucket)
+        state.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.folder}/v{batch_id}")
+        new.unpersist()
+        for b, copies in self._copies().items():
+            for v in [v for v in copies if v <= batch_id][:-2]:
+                self._fs.delete(self._path(f"{self.folder}/v{v}/bucket={b}"), True)
