@@ -12,12 +12,15 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
 from itertools import accumulate
 
-import pandas as pd
-from pyspark.sql import functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-CHUNK = "array<struct<text:string,start:int,end:int,source_start:int,source_end:int>>"
+PLACES = ("nth", "start", "end", "source_start", "source_end")
+SLICE = 1 << 20
 _BREAK = re.compile(r"(?<=[.!?])\s+|(?:\r?\n){2,}")
 
 
@@ -80,13 +83,32 @@ def cut(text: str, size: int, overlap: int) -> list[dict]:
     return rows
 
 
-def chunker(size: int, overlap: int):
-    """Source text → chunks; source_start and source_end are where their sentences stand in it."""
+def chunker(size: int, overlap: int, text: str = "text"):
+    """mapInArrow kernel: rows with a text → a row for each of its chunks, the other columns repeated.
+
+    Adds nth, start, end and source_start, source_end, where its sentences stand in the source; the text is the chunk's.
+    Rows are cut SLICE bytes of text at a time, one at least, so no more than that and its chunks are held beside a batch.
+    """
     if not 0 <= overlap < size:
         raise ValueError("the overlap must be smaller than the chunk")
 
-    @F.pandas_udf(CHUNK)
-    def chunks(texts: pd.Series) -> pd.Series:
-        return pd.Series([cut(t or "", size, overlap) for t in texts])
-
-    return chunks
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, names = batch.schema.get_field_index(text), batch.schema.names
+            reach = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            lo, done = 0, 0
+            while lo < batch.num_rows:
+                hi = max(lo + 1, int(np.searchsorted(reach, done + SLICE, "right")))
+                rows, owner = [], []
+                for k, t in enumerate(batch.column(at).slice(lo, hi - lo).to_pylist(), lo):
+                    pieces = cut(t or "", size, overlap)
+                    rows += [{"nth": nth} | piece for nth, piece in enumerate(pieces)]
+                    owner += [k] * len(pieces)
+                which = pa.array(owner, pa.int64())
+                said = pa.array([r["text"] for r in rows], pa.string())
+                columns = [said if k == at else batch.column(k).take(which) for k in range(len(names))]
+                columns += [pa.array([r[c] for r in rows], pa.int32()) for c in PLACES]
+                lo, done = hi, int(reach[hi - 1])
+                yield pa.RecordBatch.from_arrays(columns, [*names, *PLACES])
+
+    return run

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Settings
-from ..functions.chunking import chunker
+from ..functions.chunking import PLACES, chunker
 from ..functions.text import strip
 from ..schemas import BOTS, RAW_ISSUES
 
@@ -102,28 +102,22 @@ def artifact_stats(rows: DataFrame) -> DataFrame:
 
 def chunks(rows: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Overlapping chunks of each artifact with text; a bot's text is one chunk. Narrow: nothing is shuffled."""
-    rows = rows.withColumn("text", strip(F.coalesce("text", F.lit("")))).where("text <> ''")
-    cut = chunker(settings.chunk_size, settings.chunk_overlap)
-    whole = F.array(
-        F.struct(
-            F.col("text").alias("text"),
-            F.lit(0).alias("start"),
-            F.length("text").alias("end"),
-            F.lit(0).alias("source_start"),
-            F.length("text").alias("source_end"),
-        )
+    rows = rows.withColumn("text", strip(F.coalesce("text", F.lit("")))).where("text <> ''").select(
+        "artifact_id", "issue_number", "artifact_type", "issue_type", "state", "labels", "author", "timestamp", "source_url", "text", "is_bot"
     )
-    people = rows.where("not is_bot").withColumn("pieces", cut(F.col("text")))
-    parts = people.unionByName(rows.where("is_bot").withColumn("pieces", whole))
-    parts = parts.select("*", F.posexplode("pieces").alias("nth", "piece"))
-    return parts.select(
+    people = rows.where("not is_bot")
+    schema = ", ".join([*(f"{c} {t}" for c, t in people.dtypes), *(f"{c} int" for c in PLACES)])
+    parts = people.mapInArrow(chunker(settings.chunk_size, settings.chunk_overlap), schema)
+    end = F.length("text")
+    whole = rows.where("is_bot").select("*", *(x.cast("int").alias(c) for x, c in zip((F.lit(0), F.lit(0), end, F.lit(0), end), PLACES)))
+    return parts.unionByName(whole).select(
         F.format_string("%s_chunk_%d", "artifact_id", "nth").alias("chunk_id"),
         "artifact_id", "issue_number", "artifact_type", "issue_type", "state", "labels", "author", "timestamp", "source_url",
-        F.col("piece.start").cast("bigint").alias("offset_start"),
-        F.col("piece.end").cast("bigint").alias("offset_end"),
-        F.col("piece.source_start").cast("bigint").alias("source_start"),
-        F.col("piece.source_end").cast("bigint").alias("source_end"),
-        F.col("piece.text").alias("text"),
+        F.col("start").cast("bigint").alias("offset_start"),
+        F.col("end").cast("bigint").alias("offset_end"),
+        F.col("source_start").cast("bigint").alias("source_start"),
+        F.col("source_end").cast("bigint").alias("source_end"),
+        "text",
         "is_bot",
     )
 
