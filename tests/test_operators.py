@@ -261,3 +261,11 @@ def test_governance(spark, claims):
     assert {r.memory for r in governance.durability(d).collect()} == {"durable", "ephemeral"}
     old = governance.decayed(d, "2025-01-01", 366).where("relation = 'fixes'").first()
     assert old.current_confidence == pytest.approx(0.453, abs=0.01)
+
+
+def test_answers_are_dealt_to_all_cores(spark):
+    folder = "/root/testdata/sf0.01"
+    one = tables.read(spark, folder, "part").rdd.getNumPartitions()
+    dealt = extraction.validate(extraction.read_answers(tables.answers(spark, folder))).rdd.glom().map(len).collect()
+    assert one == 1 and sum(n > 0 for n in dealt) >= spark.sparkContext.defaultParallelism and max(dealt) < sum(dealt) / 4
+    assert sum(dealt) == tables.read(spark, folder, "part").count()

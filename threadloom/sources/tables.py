@@ -86,8 +86,12 @@ def aliases(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def answers(spark: SparkSession, folder: str) -> DataFrame:
-    """What a model could have answered about each part: plain, fenced, in prose, broken, not an object, and worse."""
-    p = read(spark, folder, "part").select(
+    """What a model could have answered about each part: plain, fenced, in prose, broken, not an object, and worse.
+
+    Parts are short rows in few files, answers and their validation much work, so parts are dealt to all cores first.
+    """
+    parts = read(spark, folder, "part").select("p_partkey", "p_name", "p_brand", "p_size")
+    p = parts.repartition(4 * spark.sparkContext.defaultParallelism, "p_partkey").select(
         F.col("p_partkey").alias("k"), F.regexp_replace("p_name", '["\\\\]', "").alias("n"), F.col("p_brand").alias("b"), "p_size"
     )
     body = F.format_string(
