@@ -34,12 +34,15 @@ def decayed(claims: DataFrame, today: str, half_life_days: float = 365.0) -> Dat
 
 
 def _with_evidence_in(claims: DataFrame, ids: DataFrame) -> DataFrame:
-    """Claims with the evidence whose artifact is among the ids; claims without any left go."""
-    e = claims.select("claim_id", F.posexplode("evidence").alias("nth", "e")).withColumn("artifact_id", F.col("e.artifact_id"))
-    e = e.join(ids.select("artifact_id").distinct(), "artifact_id", "left_semi")
-    kept = e.groupBy("claim_id").agg(F.array_sort(F.collect_list(F.struct("nth", "e"))).alias("k"))
-    kept = kept.select("claim_id", F.transform("k", lambda x: x["e"]).alias("evidence"))
-    return claims.drop("evidence").join(kept, "claim_id")
+    """Claims with the evidence whose artifact is among the ids; claims without any left go.
+
+    A claim's other columns go with its pieces of evidence, so claims are made once.
+    """
+    rest = [c for c in claims.columns if c not in ("claim_id", "evidence")]
+    e = claims.select("claim_id", F.struct(*rest).alias("rest"), F.posexplode("evidence").alias("nth", "e")).withColumn("artifact_id", F.col("e.artifact_id"))
+    e = e.join(ids.select("artifact_id"), "artifact_id", "left_semi")
+    kept = e.groupBy("claim_id").agg(F.first("rest").alias("rest"), F.array_sort(F.collect_list(F.struct("nth", "e"))).alias("k"))
+    return kept.select("claim_id", *(F.col("rest")[c].alias(c) for c in rest), F.transform("k", lambda x: x["e"]).alias("evidence"))
 
 
 def without_orphans(claims: DataFrame, artifacts: DataFrame) -> DataFrame:
